@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowlake.checks.fixtures import plain
 from flowlake.session import use_utc, work_dir
+from flowlake.sinks.tables import table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +38,7 @@ def written_once(
 ) -> str:
     """The folder of an input copy that several queries read, written at its first use."""
     slot = (spark.sparkContext.applicationId, sf_dir, name)
-    if slot not in _folders:
+    if slot not in _folders or not table_exists(spark, _folders[slot]):
         path = work_dir(spark, name)
         write(path)
         _folders[slot] = path

@@ -23,13 +23,13 @@ TOPICS = {
 
 
 def replay(spark: SparkSession, sf_dir: str, topic: str, streaming: bool = True) -> DataFrame:
-    """A topic of four files, one file per micro-batch."""
+    """A topic of sixteen files, four of them per micro-batch."""
 
     def write(path: str) -> None:
-        archive_topic(TOPICS[topic](spark, sf_dir), path)
+        archive_topic(TOPICS[topic](spark, sf_dir), path, files=16)
 
     path = written_once(spark, sf_dir, f"topic-{topic}", write)
-    return replay_topic(spark, path, files_per_batch=1, streaming=streaming)
+    return replay_topic(spark, path, files_per_batch=4, streaming=streaming)
 
 
 def finish(query) -> None:

@@ -33,8 +33,10 @@ def lookup_join(
     one = F.array(F.lit(0).cast("bigint"))
     many = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
     spot = F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint"))
+    # A NULL key meets nothing, so its rows may lie anywhere.
+    spread_out = F.col("_hot") | F.col(key).isNull()
     salted = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spot).otherwise(F.lit(0).cast("bigint"))
+        "_salt", F.when(spread_out, spot).otherwise(F.lit(0).cast("bigint"))
     )
     repeated = lookup.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), many).otherwise(one))

@@ -91,8 +91,13 @@ def _current_state(spark: SparkSession, path: str, schema, rule: MergeRule):
 def read_merged(
     spark: SparkSession, path: str, schema, rule: MergeRule = ACCOUNT_MERGE
 ) -> DataFrame:
-    """The merged table under ``path``: last snapshot and the batches since, in one aggregate."""
+    """The merged table under ``path``: last snapshot and the batches since, in one aggregate.
+
+    Right behind a compaction there are no such batches, and the snapshot is read as it is.
+    """
     folded, newer, _ = _current_state(spark, path, schema, rule)
+    if newer.isEmpty():
+        return state_rows(folded, rule)
     states = folded.unionByName(change_state(newer, rule))
     return state_rows(fold_state(states, rule), rule)
 

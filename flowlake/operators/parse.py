@@ -148,8 +148,11 @@ def _layout(fields: tuple[Field, ...]) -> str:
 def open_json(messages: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
     """JSON objects, every field as text: quoted and bare numbers are the same."""
     parsed = F.from_json("value", _layout(fields), {"columnNameOfCorruptRecord": BAD_LINE})
-    body = F.btrim(F.col("raw"), F.lit(" \t\r\n"))
-    is_object = body.startswith("{") & body.endswith("}")
+    # The parser lets text behind the object pass. Trimming is only tried where it matters.
+    bare, trimmed = F.col("raw"), F.btrim(F.col("raw"), F.lit(" \t\r\n"))
+    is_object = (bare.startswith("{") & bare.endswith("}")) | (
+        trimmed.startswith("{") & trimmed.endswith("}")
+    )
     return _open(messages, parsed, fields, F.col(BAD_LINE).isNotNull() | ~is_object)
 
 

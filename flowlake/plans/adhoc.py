@@ -96,3 +96,16 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def recent_accounts(accounts: DataFrame, n: int = 20) -> DataFrame:
     """Preset: the accounts that changed last."""
     return recent_rows(accounts, "event_ts", n, tie=["account_id"])
+
+
+def presets(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The quick-start questions: counts on both sides, and the accounts that changed last.
+
+    ``source`` and ``target`` map table names to tables; both hold ``credit_accounts``.
+    """
+    return {
+        "Source row counts": table_counts(source),
+        "Recent source rows": recent_accounts(source["credit_accounts"]),
+        "Target row counts": table_counts(target),
+        "Recent target rows": recent_accounts(target["credit_accounts"]),
+    }

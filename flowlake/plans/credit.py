@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,6 +28,14 @@ FEATURES = (
 NEUTRAL_SCORE = 650
 PRODUCTS = FEATURES[5:]
 
+# The latest-row aggregate carries every column it is given, so it is given only these.
+LATEST_BY = ("event_ts", "ingested_ts")
+ACCOUNT_INPUTS = (
+    "account_id", "consumer_id", "product", "sanctioned_amount", "outstanding_amount",
+    "dpd_bucket", "status", "opened_ts", *LATEST_BY,
+)
+SCORE_INPUTS = ("consumer_id", "score_value", "score_ts", "ingested_ts")
+
 # When training is worth it, and how long it may run.
 MIN_ROWS = 20
 MIN_CLASSES = 2
@@ -56,8 +65,8 @@ def feature_vector(as_of=None) -> Column:
 
 def credit_features(accounts: DataFrame, scores: DataFrame, as_of=None) -> DataFrame:
     """Label and features of every latest account, with its consumer's latest score."""
-    latest = latest_accounts(accounts)
-    score = latest_scores(scores).select("consumer_id", "score_value")
+    latest = latest_accounts(accounts.select(*ACCOUNT_INPUTS))
+    score = latest_scores(scores.select(*SCORE_INPUTS)).select("consumer_id", "score_value")
     joined = lookup_join(latest, score, "consumer_id", spread=["account_id"])
     return joined.select(
         "account_id",
@@ -97,9 +106,15 @@ def train_credit(features: DataFrame, max_iterations: int = MAX_ITERATIONS) -> D
     solver = GeneralizedLinearRegression(
         family="binomial", link="logit", maxIter=max_iterations, featuresCol="inputs"
     )
-    fit = solver.fit(inputs)
-    coef = [float(fit.intercept), *map(float, fit.coefficients)]
-    return model_row(features, coef, fit.summary.numIterations)
+    # Every iteration is a pass over the inputs; what does not fit in memory goes to disk.
+    inputs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fit = solver.fit(inputs)
+        coef = [float(fit.intercept), *map(float, fit.coefficients)]
+        iterations = fit.summary.numIterations
+    finally:
+        inputs.unpersist()
+    return model_row(features, coef, iterations)
 
 
 def model_row(features: DataFrame, coef: list[float], iterations: int) -> DataFrame:
@@ -170,9 +185,8 @@ def score_accounts(features: DataFrame, model: DataFrame) -> DataFrame:
 
 def top_risk(scores: DataFrame, accounts: DataFrame, n: int = 20) -> DataFrame:
     """The accounts most likely delinquent, with their current state."""
-    state = latest_accounts(accounts).select(
-        "account_id", "product", "outstanding_amount", "dpd_bucket", "status"
-    )
+    shown = ["account_id", "product", "outstanding_amount", "dpd_bucket", "status"]
+    state = latest_accounts(accounts.select(*shown, *LATEST_BY)).drop(*LATEST_BY)
     order = [F.desc_nulls_first("probability_delinquent"), F.asc("account_id")]
     return scores.join(state, "account_id").orderBy(*order).limit(n)
 

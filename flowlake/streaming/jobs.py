@@ -37,10 +37,12 @@ def run_job(
         rows = parse_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = parse.split_rejects(rows)
-            parse.enforce_limit(bad.count(), settings.reject_limit)
+            rejected = bad.count()
+            parse.enforce_limit(rejected, settings.reject_limit)
             tables = {f"{path}/{table}": df for table, df in targets(good).items()}
             fan_out(tables, batch_id, settings.exactly_once)
-            append_batch(bad, batch_id, f"{path}/rejects/{name}")
+            if rejected:
+                append_batch(bad, batch_id, f"{path}/rejects/{name}")
         finally:
             rows.unpersist()
 
