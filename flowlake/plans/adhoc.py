@@ -31,6 +31,10 @@ class NeedsConfirmation(StatementRefused):
     """The statement looks data-changing and must be confirmed."""
 
 
+class StatementTimedOut(TimeoutError):
+    """The statement ran into its time limit and was cancelled."""
+
+
 @dataclass(frozen=True)
 class QueryResult:
     columns: list[str]
@@ -55,23 +59,39 @@ def check_statement(sql: str, confirm: bool = False) -> str:
     return statement
 
 
+def _cancel_after(context, group: str, timeout: float, done: threading.Event) -> None:
+    """Cancel a job group once its time is up, and again for jobs that start later."""
+    if done.wait(timeout):
+        return
+    while not done.wait(0.2):
+        context.cancelJobGroup(group)
+
+
 def guarded_sql(
     spark: SparkSession, sql: str, confirm: bool = False, args: dict[str, Any] | None = None,
     timeout: float = TIMEOUT_SECONDS,
 ) -> QueryResult:
-    """Run one statement with a row bound and a time limit. Values are bound by ``args``."""
+    """Run one statement with a row bound and a time limit. Values are bound by ``args``.
+
+    At the limit the statement's jobs are cancelled; a task ends at its next row from a scan.
+    """
     statement = check_statement(sql, confirm)
     context = spark.sparkContext
     group = f"adhoc-{uuid.uuid4().hex}"
     context.setJobGroup(group, "guarded SQL", interruptOnCancel=True)
-    timer = threading.Timer(timeout, context.cancelJobGroup, [group])
-    timer.start()
+    done = threading.Event()
+    watch = threading.Thread(target=_cancel_after, args=(context, group, timeout, done), daemon=True)
+    watch.start()
     start = time.monotonic()
     try:
         df = spark.sql(statement, args=args or {})
         result = bounded(df, MAX_ROWS)
+    except Exception as error:
+        if time.monotonic() - start > timeout:
+            raise StatementTimedOut(f"cancelled after {timeout} seconds") from error
+        raise
     finally:
-        timer.cancel()
+        done.set()
         context.setLocalProperty("spark.jobGroup.id", None)
         context.setLocalProperty("spark.job.description", None)
     elapsed = round(time.monotonic() - start, 3)

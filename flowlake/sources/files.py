@@ -48,7 +48,8 @@ def with_source_id(df: DataFrame) -> DataFrame:
 def file_inventory(spark: SparkSession, path: str, limit: int = 1000) -> DataFrame:
     """The first ``limit`` files below ``path`` by name, and whether there are more.
 
-    Only the listing is read: the file content is pruned from the scan.
+    Only the listing is read: the file content is pruned from the scan. Empty files, which
+    give the scan nothing to split, are not listed.
     """
     files = (
         spark.read.format("binaryFile")

@@ -1,0 +1,284 @@
+"""Files in place, bulk loads, sinks, top-k, KPIs on edge rows, guarded SQL."""
+
+import datetime
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowlake import schemas
+from flowlake.operators import external, kpi, parse, topk
+from flowlake.plans import adhoc
+from flowlake.plans.bulk_load import bulk_load
+from flowlake.session import work_dir
+from flowlake.sinks import tables
+from flowlake.sources import files
+
+AS_OF = "2024-01-01 00:00:00"
+HEADER = parse.READING_HEADER
+
+
+def write_csv(tmp_path, name, lines):
+    (tmp_path / name).write_text("\n".join([HEADER, *lines]) + "\n")
+
+
+def line(sensor="s1", temperature="22.004", location="B-Floor-2", status="low_temp"):
+    return f"2024-01-01 10:00:00,{sensor},{location},{temperature},50,1000,85,{status}"
+
+
+def test_bulk_load_by_both_rule_sets(spark, tmp_path):
+    write_csv(tmp_path, "a.csv", [line(), line("s2", location="B-Floor-")])
+    write_csv(tmp_path, "b.csv", [line("s3")])
+    csv = str(tmp_path)
+    path = work_dir(spark, "bulk")
+    rows = bulk_load(spark, csv, path, "bulk", AS_OF).orderBy("sensor_id").collect()
+    assert [(r["sensor_id"], r["floor"], r["alert_level"]) for r in rows] == [
+        ("s1", 2, 2), ("s2", None, 2), ("s3", 2, 2)
+    ]
+    assert {r["data_quality"] for r in rows} == {"batch_gpfdist"}
+    assert {r["battery_status"] for r in rows} == {"full"}
+    assert len({r["id"] for r in rows}) == 3
+    path = work_dir(spark, "bulk")
+    rows = bulk_load(spark, csv, path, "stream", AS_OF).orderBy("sensor_id").collect()
+    # An empty floor is a bad integer to the stream rules.
+    assert [(r["sensor_id"], r["alert_level"]) for r in rows] == [("s1", 1), ("s3", 1)]
+    rejects = spark.read.parquet(f"{path}/rejects").collect()
+    assert [r["reject_reason"] for r in rejects] == ["bad_value:floor"]
+
+
+def test_bulk_load_over_its_limit_loads_nothing(spark, tmp_path):
+    write_csv(tmp_path, "a.csv", [line(), line(temperature="hot"), "short,line"])
+    path = work_dir(spark, "bulk")
+    with pytest.raises(parse.RejectLimitExceeded):
+        bulk_load(spark, str(tmp_path), path, "bulk", AS_OF)
+    assert not tables.table_exists(spark, f"{path}/readings")
+    rows = bulk_load(spark, str(tmp_path), path, "stream", AS_OF, reject_limit=2)
+    assert rows.count() == 1
+    # A second load adds to the table.
+    assert bulk_load(spark, str(tmp_path), path, "stream", AS_OF).count() == 2
+
+
+def test_source_ids(spark, tmp_path):
+    write_csv(tmp_path, "a.csv", [line(str(i)) for i in range(50)])
+    write_csv(tmp_path, "b.csv", [line(str(i)) for i in range(50)])
+    rows = files.with_source_id(files.read_bulk_csv(spark, str(tmp_path)))
+    first = {r["id"] for r in rows.collect()}
+    assert len(first) == 100 and first == {r["id"] for r in rows.collect()}
+    message = spark.createDataFrame([("t", 1, 5)], "topic string, partition int, offset bigint")
+    assert files.with_source_id(message).first()["id"] == "t:1:5"
+
+
+def test_file_inventory(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"f{i}.txt").write_text("x" * (i + 1))
+    rows = files.file_inventory(spark, str(tmp_path), limit=3).collect()
+    assert [r["key"].rsplit("/", 1)[1] for r in rows] == ["f0.txt", "f1.txt", "f2.txt"]
+    assert [r["size"] for r in rows] == [1, 2, 3] and all(r["truncated"] for r in rows)
+    whole = files.file_inventory(spark, str(tmp_path), limit=5).collect()
+    assert len(whole) == 5 and not any(r["truncated"] for r in whole)
+    listing = files.file_inventory(spark, str(tmp_path))
+    plan = listing._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+@pytest.fixture(scope="module")
+def price_paths(spark):
+    path = work_dir(spark, "prices")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 500).cast("int"))
+    rows = spark.range(200000).select(
+        F.concat(F.lit("S"), F.lpad((F.col("id") / 2000).cast("int").cast("string"), 3, "0")).alias("symbol"),
+        day.alias("date"), *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close")],
+        F.col("id").alias("volume"),
+    ).coalesce(1)
+    small = {"parquet.block.size": "262144", "orc.stripe.size": "262144", "orc.row.index.stride": "2000"}
+    for kind in ("orc", "parquet", "json"):
+        rows.write.options(**small).format(kind).save(f"{path}/{kind}")
+    return path
+
+
+@pytest.mark.parametrize("kind", ["orc", "parquet"])
+def test_pushdown_probe(spark, price_paths, kind):
+    off, on = external.pushdown_probe(
+        spark, f"{price_paths}/{kind}", kind, schemas.PRICES, "symbol", "=", "S007"
+    )
+    assert (off.pushdown, on.pushdown) == (False, True)
+    assert off.row_count == on.row_count == 2000
+    assert on.scanned_rows < off.scanned_rows == 200000
+    assert spark.conf.get(external.PUSHDOWN[kind]) == "true"
+
+
+def test_explain_scan(spark, price_paths):
+    for op, pushed in (("=", "EqualTo(symbol,S007)"), ("!=", "Not(EqualTo(symbol,S007))")):
+        rows = files.read_external(spark, f"{price_paths}/parquet", "parquet", schemas.PRICES)
+        kept = topk.compare_filter(rows, "symbol", op, "S007", project="open")
+        plan = external.explain_scan(kept)
+        assert plan.pushed_down and pushed in plan.pushed_filters[0]
+        schema_line = next(x for x in plan.lines if "ReadSchema" in x)
+        assert schema_line.endswith("struct<symbol:string,open:double>")
+    everything = files.read_external(spark, f"{price_paths}/orc", "orc", schemas.PRICES)
+    assert not external.explain_scan(everything).pushed_down
+
+
+def test_unknown_names_are_refused(spark, price_paths):
+    rows = files.read_external(spark, f"{price_paths}/json", "json", schemas.PRICES)
+    with pytest.raises(ValueError):
+        topk.compare_filter(rows, "symbol", "LIKE", "S%")
+    with pytest.raises(ValueError):
+        topk.compare_filter(rows, "symbol; DROP TABLE x", "=", "S")
+    with pytest.raises(ValueError):
+        topk.compare_filter(rows, "symbol", "=", "S", project="secret")
+    with pytest.raises(ValueError):
+        files.read_external(spark, price_paths, "avro", schemas.PRICES)
+    assert topk.compare_filter(rows, "symbol", "=").count() == 200000
+
+
+def test_status_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], schemas.PRICES)
+    assert external.external_status(empty).first().asDict() == {
+        "total": 0, "symbols": 0, "earliest": None, "latest": None
+    }
+
+
+def test_write_table_keeps_keys_together_and_rows_whole(spark):
+    path = work_dir(spark, "layout")
+    rows = spark.range(5000).select("id", (F.col("id") % 3).alias("k"))
+    tables.write_table(rows, path, key="k", sort=["k", "id"])
+    back = spark.read.parquet(path)
+    assert back.count() == 5000
+    assert all(name.endswith(".zstd.parquet") for name in {
+        f.split("/")[-1] for f in back.inputFiles()
+    })
+
+
+def test_table_or_empty_truncate_and_views(spark):
+    path = work_dir(spark, "tables")
+    assert not tables.table_exists(spark, f"{path}/t")
+    empty = tables.read_table(spark, f"{path}/t", schemas.SCORES)
+    assert empty.count() == 0 and empty.columns[0] == "score_event_id"
+    rows = tables.materialize(spark.range(3), f"{path}/t")
+    assert rows.count() == 3 and tables.table_exists(spark, f"{path}/t")
+    tables.truncate_table(spark, f"{path}/t", "id BIGINT")
+    assert tables.read_table(spark, f"{path}/t", "id BIGINT").count() == 0
+    tables.register_views({"three": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM three").first()[0] == 3
+
+
+def test_recent_rows_and_series(spark):
+    ts = [None if d is None else datetime.date(2024, 1, d) for d in (3, 1, None, 2, 3)]
+    df = spark.createDataFrame(list(enumerate(ts)), "k int, date date")
+    assert [r["k"] for r in topk.recent_rows(df, "date", 3, tie=["k"]).collect()] == [2, 0, 4]
+    plan = topk.recent_rows(df, "date", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    prices = df.withColumn("symbol", F.lit("S")).filter("k != 4")
+    assert [r["k"] for r in topk.series(prices.filter("date IS NOT NULL"), "S", 2).collect()] == [3, 0]
+
+
+def test_top_by_puts_null_sums_first(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), ("c", 5)], "g string, total_price int")
+    assert [r["g"] for r in topk.top_by(df, "g", 2).collect()] == ["b", "c"]
+
+
+def test_sample_is_whole_and_repeatable(spark):
+    df = spark.range(1000)
+    one = [r["id"] for r in topk.sample_n(df, 20, "id", "a").collect()]
+    assert one == [r["id"] for r in topk.sample_n(df.repartition(5), 20, "id", "a").collect()]
+    assert len(set(one)) == 20 and one != [r["id"] for r in topk.sample_n(df, 20, "id", "b").collect()]
+    assert topk.sample_n(df, 5000, "id", "a").count() == 1000
+
+
+def test_bounded(spark):
+    assert topk.bounded(spark.range(499)).truncated is False
+    full = topk.bounded(spark.range(500))
+    assert full.truncated and len(full.rows) == 500
+    assert len(topk.bounded(spark.range(900)).rows) == 500
+
+
+def test_kpis_of_an_empty_table(spark):
+    orders = spark.createDataFrame([], schemas.ORDERS)
+    row = kpi.ecom_totals(orders, AS_OF).first()
+    assert (row["total_orders"], row["total_revenue"], row["avg_order_value"]) == (0, 0, 0)
+    readings = spark.createDataFrame([], schemas.READINGS)
+    assert kpi.iot_totals(readings, AS_OF).first()["avg_temp"] is None
+    assert kpi.table_status(readings, "timestamp", AS_OF).first()["latest"] is None
+    assert kpi.sensor_cards(readings).count() == 0
+
+
+def test_mean_rounds_half_up(spark):
+    df = spark.createDataFrame([("0.01",), ("0.02",)], "s string").select(
+        F.col("s").cast("decimal(5,2)").alias("v"), (-F.col("s").cast("decimal(5,2)")).alias("w")
+    )
+    row = df.agg(kpi.mean("v", 2).alias("v"), kpi.mean("w", 2).alias("w")).first()
+    assert (str(row["v"]), str(row["w"])) == ("0.02", "-0.02")
+
+
+def test_recent_filter_reaches_the_scan(spark):
+    path = work_dir(spark, "recent")
+    spark.range(5).select(F.col("id").cast("timestamp").cast("timestamp_ntz").alias("timestamp")).write.parquet(path)
+    plan = external.explain_scan(kpi.recent(spark.read.parquet(path), "timestamp", "1 minute", AS_OF))
+    assert any("GreaterThan(timestamp" in text for text in plan.pushed_filters)
+
+
+def test_share_of_the_greatest(spark):
+    df = spark.createDataFrame([("a", 200.0), ("b", 101.0), ("c", None)], "g string, revenue double")
+    assert {r["g"]: r["pct_of_max"] for r in kpi.pct_of_max(df, "revenue").collect()} == {
+        "a": 100, "b": 51, "c": 0
+    }
+    small = spark.createDataFrame([("a", 0.5)], "g string, revenue double")
+    assert kpi.pct_of_max(small, "revenue").first()["pct_of_max"] == 50
+
+
+def test_statement_guard():
+    assert adhoc.check_statement(" SELECT 1 ; ") == "SELECT 1"
+    for sql in ("", "  ;", "SELECT 1; SELECT 2"):
+        with pytest.raises(adhoc.StatementRefused):
+            adhoc.check_statement(sql)
+    for sql in ("drop table t", "INSERT INTO t VALUES (1)", "SELECT 1 /* Create */"):
+        with pytest.raises(adhoc.NeedsConfirmation):
+            adhoc.check_statement(sql)
+        assert adhoc.check_statement(sql, confirm=True) == sql
+    assert adhoc.check_statement("SELECT created_at, dropped FROM updates")
+
+
+def test_guarded_sql(spark):
+    result = adhoc.guarded_sql(spark, "SELECT id FROM range(600) WHERE id >= :low", args={"low": 50})
+    assert (result.columns, result.row_count, result.truncated) == (["id"], 500, True)
+    spark.range(2).createOrReplaceTempView("gone")
+    adhoc.guarded_sql(spark, "DROP VIEW gone", confirm=True)
+    assert not spark.catalog.tableExists("gone")
+
+
+def test_guarded_sql_time_limit(spark, price_paths):
+    prices = files.read_external(spark, f"{price_paths}/json", "json", schemas.PRICES)
+    prices.createOrReplaceTempView("slow_prices")
+    endless = """
+        SELECT max(sha2(cast(volume * x AS string), 512))
+        FROM slow_prices LATERAL VIEW explode(sequence(1, 50000)) AS x
+    """
+    start = time.monotonic()
+    with pytest.raises(adhoc.StatementTimedOut):
+        adhoc.guarded_sql(spark, endless, timeout=1.0)
+    assert time.monotonic() - start < 30
+    # The session is usable afterwards.
+    assert adhoc.guarded_sql(spark, "SELECT 1 AS one").rows[0]["one"] == 1
+
+
+def test_presets(spark):
+    accounts = spark.createDataFrame([(i, datetime.datetime(2024, 1, 1 + i)) for i in range(25)],
+                                     "account_id int, event_ts timestamp_ntz")
+    side = {"credit_accounts": accounts, "bureau_score_events": spark.range(4)}
+    found = adhoc.presets(side, side)
+    assert {r["tbl"]: r["n"] for r in found["Target row counts"].collect()} == {
+        "credit_accounts": 25, "bureau_score_events": 4
+    }
+    assert [r["account_id"] for r in found["Recent source rows"].collect()][:2] == [24, 23]
+
+
+def test_open_accounts(spark):
+    df = spark.createDataFrame([("active",), ("Closed",), ("Charged-off",), (None,)], "status string")
+    assert [r["status"] for r in adhoc.open_accounts(df).collect()] == ["active"]
+
+
+def test_work_dir_needs_a_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert work_dir(spark, "x").startswith(shared)
+    assert work_dir(spark, "x") != work_dir(spark, "x")
