@@ -9,6 +9,7 @@ from flowlake.checks import fixtures as fx
 from flowlake.checks.registry import check
 from flowlake.operators import kpi, latest, merge, parse, reconcile, topk
 from flowlake.plans import adhoc, credit
+from flowlake.plans.bulk_load import reject_counts
 from flowlake.session import work_dir
 
 ACCOUNTS = fx.ctes("fx_account_changes")
@@ -143,6 +144,33 @@ def merge_accounts(spark, sf_dir):
     return parse.target_rows(merged, schemas.ACCOUNTS).drop("ingested_ts")
 
 
+@check(f"""{ACCOUNTS}, c AS (SELECT *, seq * 13 % 5 AS batch, product || '/' || CAST(seq % 7 AS VARCHAR)
+  AS product_now FROM fx_account_changes),
+i AS (SELECT * FROM c QUALIFY row_number() OVER
+  (PARTITION BY account_id ORDER BY batch, event_ms DESC) = 1),
+n AS (SELECT * FROM c QUALIFY row_number() OVER
+  (PARTITION BY account_id ORDER BY event_ms DESC) = 1)
+SELECT i.account_id, i.product_now AS product, CAST(n.outstanding_amount AS DOUBLE)
+  AS outstanding_amount, n.dpd_bucket, n.status, make_timestamp(n.event_ms * 1000) AS event_ts
+FROM i JOIN n ON n.account_id = i.account_id""")
+def merge_late_changes(spark, sf_dir):
+    """Batches out of event order, and a product that changes though no merge updates it."""
+    seq = F.col("offset") * fx.PARTITIONS + F.col("partition")
+    now = F.concat("product", F.lit("/"), (seq % 7).cast("string"))
+    changes = accounts(spark, sf_dir).withColumns({"batch_id": seq * 13 % 5, "product": now})
+    return merge.merge_changes(changes).select(
+        "account_id", "product", "outstanding_amount", "dpd_bucket", "status", "event_ts"
+    )
+
+
+@check(f"""{ACCOUNTS}, m AS (SELECT (seq // 4) % 7 AS c FROM fx_account_changes)
+SELECT CASE c WHEN 1 THEN 'no_value' WHEN 3 THEN 'missing:account_id'
+  ELSE 'bad_value:event_ts' END AS reject_reason, COUNT(*) AS "rows"
+FROM m WHERE c IN (1, 3, 5) GROUP BY 1""")
+def reject_changes(spark, sf_dir):
+    return reject_counts(parse.accounts_from_cdc(fx.spoiled_account_messages(spark, sf_dir)))
+
+
 @check(f"""{ACCOUNTS}, {LATEST_ACCOUNTS} SELECT account_id, status FROM a
 WHERE status NOT IN ('Closed', 'Charged-off')""")
 def open_accounts(spark, sf_dir):

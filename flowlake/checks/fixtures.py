@@ -168,18 +168,36 @@ def spoiled_order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_messages(spark, sf_dir).withColumn("value", spoiled)
 
 
-def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sensor topic; offset 0 of each partition is a header line."""
-    rows = fixture(spark, sf_dir, "fx_iot").withColumnRenamed("event_time", "timestamp")
-    value = F.concat_ws(",", *[F.col(c).cast("string") for c in READING_COLUMNS])
+def reading_topic(rows: DataFrame, value) -> DataFrame:
+    """Sensor lines as a topic; offset 0 of each partition is a header line."""
     data = as_messages(rows, READING_TOPIC, value, F.col("timestamp"))
     data = data.withColumn("offset", F.col("offset") + 1)
-    headers = spark.range(PARTITIONS).withColumnRenamed("id", "seq")
+    headers = rows.sparkSession.range(PARTITIONS).withColumnRenamed("id", "seq")
     start = F.lit("2024-01-01").cast("timestamp")
     header = as_messages(headers, READING_TOPIC, F.lit(READING_HEADER), start)
     return data.unionByName(header.withColumn("offset", F.lit(0).cast("bigint")))
 
 
+def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixture(spark, sf_dir, "fx_iot").withColumnRenamed("event_time", "timestamp")
+    return reading_topic(rows, F.concat_ws(",", *[F.col(c).cast("string") for c in READING_COLUMNS]))
+
+
+def spoiled_reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sensor topic with some lines spoiled, in a different way by ``seq``."""
+    rows = fixture(spark, sf_dir, "fx_iot").withColumnRenamed("event_time", "timestamp")
+    case = F.col("seq") % 13
+    spoiled = {
+        "timestamp": F.when(case == 1, "").otherwise(F.col("timestamp").cast("string")),
+        "sensor_id": F.when(case == 3, F.repeat(F.lit("s"), 21)).otherwise(F.col("sensor_id")),
+        "location": F.when(case == 5, "X-Floor-abc").otherwise(F.col("location")),
+        "temperature": F.when(case == 7, "hot").otherwise(F.col("temperature").cast("string")),
+        "status": F.when(case == 9, "normal,more").otherwise(F.col("status")),
+    }
+    value = F.concat_ws(",", *[spoiled.get(c, F.col(c).cast("string")) for c in READING_COLUMNS])
+    return reading_topic(rows, F.when(case == 11, F.lit(None)).otherwise(value))
+
+
 def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixture(spark, sf_dir, "fx_account_changes")
     image = rows.withColumnsRenamed({"opened_ms": "opened_ts", "event_ms": "event_ts"})
@@ -187,6 +205,18 @@ def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(image, ACCOUNT_TOPIC, value, F.timestamp_millis("event_ts"))
 
 
+def spoiled_account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account topic with tombstones, keyless images and unreadable numbers in it."""
+    value, case = F.col("value"), F.col("offset") % 7
+    spoiled = (
+        F.when(case == 1, F.lit(None).cast("string"))
+        .when(case == 3, F.regexp_replace(value, '"account_id":[0-9]+', '"account_id":null'))
+        .when(case == 5, F.regexp_replace(value, '"event_ts":[0-9]+', '"event_ts":"soon"'))
+        .otherwise(value)
+    )
+    return account_messages(spark, sf_dir).withColumn("value", spoiled)
+
+
 def score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixture(spark, sf_dir, "fx_scores").withColumnRenamed("score_ms", "score_ts")
     value = F.to_json(F.struct(*[c for c in rows.columns if c != "seq"]))

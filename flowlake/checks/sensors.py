@@ -8,7 +8,7 @@ from flowlake.checks import fixtures as fx
 from flowlake.checks.orders import orders_table
 from flowlake.checks.registry import check, exact_mean, written_once
 from flowlake.operators import kpi, parse, reconcile, topk
-from flowlake.plans.bulk_load import bulk_load
+from flowlake.plans.bulk_load import bulk_load, reject_counts
 from flowlake.session import work_dir
 
 IOT = fx.ctes("fx_iot")
@@ -94,6 +94,16 @@ def derive_iot(spark, sf_dir):
     return streamed(spark, sf_dir).select(*parse.READING_COLUMNS, *DERIVED)
 
 
+@check(f"""{IOT} SELECT CASE seq % 13 WHEN 1 THEN 'missing:timestamp'
+  WHEN 3 THEN 'bad_value:sensor_id' WHEN 5 THEN 'bad_value:floor'
+  WHEN 7 THEN 'bad_value:temperature' WHEN 9 THEN 'malformed' ELSE 'no_value' END
+  AS reject_reason, COUNT(*) AS "rows"
+FROM fx_iot WHERE seq % 13 IN (1, 3, 5, 7, 9, 11) GROUP BY 1""")
+def reject_readings(spark, sf_dir):
+    rows = parse.readings_from_csv(fx.spoiled_reading_messages(spark, sf_dir))
+    return reject_counts(parse.derive_iot(rows, "stream", fx.AS_OF))
+
+
 @check(derived_sql(STREAM_SQL))
 def bulk_load_stream_rules(spark, sf_dir):
     return bulk_loaded(spark, sf_dir, "stream")
