@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowlake import schemas
 from flowlake.checks import fixtures as fx
 from flowlake.checks.registry import check
+from flowlake.functions import vectors
 from flowlake.operators import kpi, latest, merge, parse, reconcile, topk
 from flowlake.plans import adhoc, credit
 from flowlake.plans.bulk_load import reject_counts
@@ -290,6 +291,20 @@ def credit_model(spark, sf_dir):
     return model.select(F.posexplode("coef").alias("slot", "coef"))
 
 
+@check("SELECT CAST(i AS INT) AS slot, CAST(0 AS DOUBLE) AS gradient FROM range(9) r(i)")
+def model_score_equations(spark, sf_dir):
+    """At the maximum of the likelihood the residuals are orthogonal to every feature."""
+    run = credit_run(spark, sf_dir)
+    rows = run.features.crossJoin(F.broadcast(run.model.select("coef")))
+    chance = vectors.sigmoid(vectors.dot(F.col("coef"), F.col("features")))
+    rows = rows.select(F.posexplode("features").alias("slot", "x"), (F.col("label") - chance).alias("rest"))
+    sums = rows.groupBy("slot").agg(
+        F.sum(F.col("rest") * F.col("x")).alias("sum"), F.sum(F.abs("x")).alias("size")
+    )
+    share = F.round(F.abs(F.col("sum") / F.greatest(F.col("size"), F.lit(1.0))), 5)
+    return sums.select("slot", share.alias("gradient"))
+
+
 @check()
 def model_report(spark, sf_dir):
     return credit_run(spark, sf_dir).model

@@ -8,7 +8,9 @@ from flowlake import schemas
 from flowlake.checks import fixtures as fx
 from flowlake.checks.registry import check, exact_mean
 from flowlake.operators import kpi, parse, reconcile, topk
+from flowlake.plans.adhoc import guarded_sql
 from flowlake.plans.bulk_load import reject_counts
+from flowlake.sinks.tables import register_views
 from flowlake.sources.topics import topic_totals
 
 ORDERS = fx.ctes("fx_orders")
@@ -168,3 +170,15 @@ def table_status(spark, sf_dir):
 @check(f"{ORDERS} {STATUS_SQL}")
 def mirror_status(spark, sf_dir):
     return kpi.table_status(mirror_table(spark, sf_dir), "timestamp", AS_OF, WINDOW)
+
+
+@check(f"""{TABLE_SQL} SELECT category, revenue_bucket, COUNT(*) AS n FROM t GROUP BY 1, 2""")
+def adhoc_counts(spark, sf_dir):
+    """A guarded ad hoc statement over a registered view; its result is bounded."""
+    register_views({"flowlake_orders": orders_table(spark, sf_dir)})
+    result = guarded_sql(
+        spark,
+        "SELECT category, revenue_bucket, COUNT(*) AS n FROM flowlake_orders GROUP BY 1, 2",
+        timeout=600.0,
+    )
+    return spark.createDataFrame(result.rows, "category STRING, revenue_bucket STRING, n BIGINT")

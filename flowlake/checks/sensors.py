@@ -10,6 +10,8 @@ from flowlake.checks.registry import check, exact_mean, written_once
 from flowlake.operators import kpi, parse, reconcile, topk
 from flowlake.plans.bulk_load import bulk_load, reject_counts
 from flowlake.session import work_dir
+from flowlake.sinks.tables import write_table
+from flowlake.sources.files import with_source_id
 
 IOT = fx.ctes("fx_iot")
 WINDOW = "3 days"
@@ -114,6 +116,21 @@ def bulk_load_bulk_rules(spark, sf_dir):
     return bulk_loaded(spark, sf_dir, "bulk")
 
 
+@check(f"""{IOT} SELECT 'iot-sensors-csv:' || CAST(seq % 4 AS VARCHAR) || ':' ||
+CAST(seq // 4 + 1 AS VARCHAR) AS id, sensor_id FROM fx_iot""")
+def source_ids(spark, sf_dir):
+    return with_source_id(streamed(spark, sf_dir)).select("id", "sensor_id")
+
+
+@check(derived_sql(STREAM_SQL))
+def table_layout(spark, sf_dir):
+    """Readings written by sensor, sorted within files, and read back."""
+    path = work_dir(spark, "layout")
+    rows = readings_table(spark, sf_dir).select(*parse.READING_COLUMNS, *DERIVED)
+    write_table(rows, path, key="sensor_id", sort=["sensor_id", "timestamp"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @check(f"""{TABLE_SQL} SELECT COUNT(*) AS total_readings,
 COUNT(DISTINCT sensor_id) AS active_sensors,
 COUNT(*) FILTER (WHERE {SINCE}) AS readings_per_min,

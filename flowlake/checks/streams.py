@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
 from flowlake.checks import credit, fixtures as fx, orders, sensors
@@ -11,7 +11,8 @@ from flowlake.operators import merge, parse, reconcile
 from flowlake.session import work_dir
 from flowlake.sinks.tables import read_table
 from flowlake.sources.topics import archive_topic, replay_topic
-from flowlake.streaming import jobs, windows
+from flowlake.sources.topics import topic_totals as message_totals
+from flowlake.streaming import jobs, progress, windows
 
 TOPICS = {
     "orders": fx.order_messages,
@@ -108,6 +109,20 @@ def stream_inquiries(spark, sf_dir):
     return read_table(spark, f"{path}/inquiries", schemas.INQUIRIES).drop("ingested_ts")
 
 
+@check(f"""{orders.ORDERS} SELECT COUNT(*) AS rows_read, CAST(0 AS BIGINT) AS rows_late
+FROM fx_orders""")
+def stream_progress(spark, sf_dir):
+    """What the order job reports to have read."""
+    path = work_dir(spark, "progress")
+    query = jobs.run_orders(
+        replay(spark, sf_dir, "orders"), path, f"{path}-checkpoints",
+        available_now=True, as_of=fx.AS_OF,
+    )
+    finish(query)
+    log = progress.progress(spark, query)
+    return log.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))
+
+
 FEEDS = fx.ctes("fx_account_changes", "fx_scores", "fx_inquiries")
 
 
@@ -154,6 +169,4 @@ def stream_minute(spark, sf_dir):
 
 @check(f"""{sensors.IOT} SELECT 'iot-sensors-csv' AS topic, COUNT(*) + 4 AS messages FROM fx_iot""")
 def topic_totals(spark, sf_dir):
-    from flowlake.sources.topics import topic_totals as totals
-
-    return totals(replay(spark, sf_dir, "readings", streaming=False))
+    return message_totals(replay(spark, sf_dir, "readings", streaming=False))

@@ -203,6 +203,16 @@ def target_rows(df: DataFrame, schema: str, *extra: str) -> DataFrame:
     return df.select(*StructType.fromDDL(schema).fieldNames(), *extra)
 
 
+def settle(rows: DataFrame) -> DataFrame:
+    """Parsed rows without the text columns, and the raw message only where it is rejected.
+
+    This is what is worth keeping while several tables are written from a batch.
+    """
+    raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw"))
+    names = [name for name in rows.columns if not name.startswith("_")]
+    return rows.select(*names).withColumn("raw", raw)
+
+
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected ones as position, raw text and reason."""
     place = [name for name in df.columns if name in POSITION or name.startswith("source_")]

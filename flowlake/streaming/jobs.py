@@ -23,6 +23,8 @@ from flowlake.sources.topics import JobSettings
 
 Targets = Callable[[DataFrame], dict[str, DataFrame]]
 
+ROWS_PER_FILE = 1_000_000
+
 CHANGE_LOG = schemas.ACCOUNTS + ", topic STRING, partition INT, offset BIGINT, batch_id BIGINT"
 
 
@@ -34,11 +36,12 @@ def run_job(
     """Start a job. ``targets`` maps good rows to the tables (below ``path``) they go to."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = parse.settle(parse_rows(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, bad = parse.split_rejects(rows)
-            rejected = bad.count()
+            total, rejected = rows.agg(F.count("*"), F.count("reject_reason")).first()
             parse.enforce_limit(rejected, settings.reject_limit)
+            # Parsed by one task per topic partition, written to files of a useful size.
+            good, bad = parse.split_rejects(rows.coalesce(total // ROWS_PER_FILE + 1))
             tables = {f"{path}/{table}": df for table, df in targets(good).items()}
             fan_out(tables, batch_id, settings.exactly_once)
             if rejected:

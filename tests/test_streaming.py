@@ -50,6 +50,7 @@ def test_orders_in_batches_equal_the_batch_answer(spark):
     good, _ = parse.split_rejects(parse.derive_orders(parse.orders_from_json(batch, AS_OF)))
     expected = parse.target_rows(good, schemas.ORDERS)
     assert sorted(table.collect()) == sorted(expected.collect()) and table.count() == 29
+    assert len(spark.read.parquet(f"{path}/t/orders").inputFiles()) == 3
     rejects = jobs.read_rejects(spark, f"{path}/t", "orders").collect()
     assert [(r["offset"], r["reject_reason"]) for r in rejects] == [(7, "malformed")]
 
