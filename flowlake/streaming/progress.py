@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -43,8 +45,6 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):
-        import json
-
         row = progress_row(json.loads(event.progress.json))
         self.spark.createDataFrame([row], PROGRESS).write.mode("append").parquet(self.path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flowlake import schemas
 from flowlake.operators import merge, parse
 from flowlake.session import work_dir
-from flowlake.sinks.tables import append_batch, read_table
+from flowlake.sinks.tables import append_batch, fan_out, read_table
 from flowlake.sources import topics
 from flowlake.sources.topics import JobSettings
 from flowlake.streaming import jobs, progress, windows
@@ -80,6 +80,51 @@ def test_a_lost_checkpoint_replays_without_doubles(spark):
     assert run("least", "c4", False) == 24
 
 
+def test_a_crash_between_two_targets_leaves_no_doubles(spark, monkeypatch):
+    """The landing table fails after the change log was written; the batch runs again."""
+    path = work_dir(spark, "crash")
+    topic = f"{path}/topic"
+    publish(spark, topic, [account(i, 1000) for i in range(5)])
+    publish(spark, topic, [account(i, 2000) for i in range(5)], start=5)
+
+    def start():
+        stream = topics.replay_topic(spark, topic, files_per_batch=1)
+        return jobs.run_accounts(stream, f"{path}/t", f"{path}/c", available_now=True, as_of=AS_OF)
+
+    def half_written(targets, batch_id, exactly_once=True):
+        first = next(iter(targets))
+        append_batch(targets[first], batch_id, first, exactly_once)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+        fan_out({k: v for k, v in targets.items() if k != first}, batch_id, exactly_once)
+
+    monkeypatch.setattr(jobs, "fan_out", half_written)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        start().awaitTermination()
+    monkeypatch.undo()
+    drain(start())
+    assert read_table(spark, f"{path}/t/accounts/changes", jobs.CHANGE_LOG).count() == 10
+    assert jobs.read_landing(spark, f"{path}/t").count() == 10
+    assert merge.read_merged(spark, f"{path}/t/accounts", jobs.CHANGE_LOG).count() == 5
+
+
+def test_a_job_at_its_interval_takes_new_messages(spark):
+    path = work_dir(spark, "interval")
+    topic = f"{path}/topic"
+    publish(spark, topic, [order(1)])
+    settings = JobSettings(interval_ms=100)
+    query = jobs.run_orders(topics.replay_topic(spark, topic), f"{path}/t", f"{path}/c", settings)
+    try:
+        query.processAllAvailable()
+        publish(spark, topic, [order(2)], start=1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = read_table(spark, f"{path}/t/orders", schemas.ORDERS).collect()
+    assert {r["order_id"] for r in rows} == {"o1", "o2"}
+    assert all(r["processing_time"] is not None for r in rows)
+
+
 def test_append_batch_modes(spark):
     path = work_dir(spark, "append")
     rows = spark.range(3)
