@@ -89,7 +89,7 @@ def stream_append_iot(spark, sf_dir):
 
 @check(f"{credit.ACCOUNTS}, {credit.LATEST_ACCOUNTS} SELECT {credit.ACCOUNT_SQL} FROM a")
 def stream_merge_accounts(spark, sf_dir):
-    """Account changes merged from a snapshot of the log and the batches behind it."""
+    """Account changes merged from a snapshot of the log and the batch behind it."""
     path = ingest(spark, sf_dir, "accounts")
     merge.compact(spark, f"{path}/accounts", jobs.CHANGE_LOG)
     merged = merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG)

@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType
 from flowlake.sinks.tables import read_table
 
 BATCH = "batch_id"
+SNAPSHOT_LOG = "upto BIGINT"
 
 
 @dataclass(frozen=True)
@@ -81,8 +82,9 @@ def _snapshots(spark: SparkSession, path: str, rule: MergeRule, log: DataFrame)
 def _current_state(spark: SparkSession, path: str, schema, rule: MergeRule):
     log = read_table(spark, f"{path}/changes", schema)
     snapshots = _snapshots(spark, path, rule, log)
-    upto = snapshots.agg(F.max("upto")).first()[0]
-    upto = -1 if upto is None else upto
+    # Only a logged snapshot is whole.
+    logged = read_table(spark, f"{path}/snapshot_log", SNAPSHOT_LOG)
+    upto = logged.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
     folded = snapshots.filter(F.col("upto") == upto).drop("upto")
     newer = log.filter(F.col(BATCH) > upto)
     return folded, newer, upto
@@ -102,16 +104,25 @@ def read_merged(
     return state_rows(fold_state(states, rule), rule)
 
 
-def compact(spark: SparkSession, path: str, schema, rule: MergeRule = ACCOUNT_MERGE) -> int:
-    """Fold all batches so far into a new snapshot; give the last batch it holds.
+def compact(
+    spark: SparkSession, path: str, schema, rule: MergeRule = ACCOUNT_MERGE,
+    upto: int | None = None,
+) -> int:
+    """Fold the batches up to ``upto`` into a new snapshot; give the last batch it holds.
 
-    The snapshot is a new folder and older ones stay, so a lost job leaves the table readable.
+    By default the newest batch is left out: a job writes its batches one after the other,
+    so all but the newest are known to be whole. The snapshot is a new folder, older ones
+    stay, and it counts once its log row is written, so a lost job leaves the table readable.
     """
-    folded, newer, upto = _current_state(spark, path, schema, rule)
-    last = newer.agg(F.max(BATCH)).first()[0]
-    if last is None:
-        return upto
-    newer = newer.filter(F.col(BATCH) <= last)
+    folded, newer, done = _current_state(spark, path, schema, rule)
+    if upto is None:
+        newest = newer.agg(F.max(BATCH)).first()[0]
+        upto = done if newest is None else newest - 1
+    if upto <= done:
+        return done
+    newer = newer.filter(F.col(BATCH) <= upto)
     states = folded.unionByName(change_state(newer, rule))
-    fold_state(states, rule).write.mode("overwrite").parquet(f"{path}/snapshots/upto={last}")
-    return last
+    fold_state(states, rule).write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    done_row = spark.createDataFrame([(upto,)], SNAPSHOT_LOG).coalesce(1)
+    done_row.write.mode("append").parquet(f"{path}/snapshot_log")
+    return upto

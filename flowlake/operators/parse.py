@@ -18,6 +18,8 @@ from flowlake.functions.casts import Cast
 
 POSITION = ("topic", "partition", "offset")
 BAD_LINE = "_bad_line"
+# Inside quotes, a doubled quote stands for one.
+CSV_ESCAPE = '"'
 
 
 class RejectLimitExceeded(RuntimeError):
@@ -159,7 +161,8 @@ def open_json(messages: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
 def open_csv(messages: DataFrame, fields: tuple[Field, ...], header: str) -> DataFrame:
     """CSV lines. A producer sends its header on every start, so each copy is dropped."""
     lines = messages.filter(F.col("value").isNull() | (F.rtrim(F.col("value")) != header))
-    parsed = F.from_csv("value", _layout(fields), {"columnNameOfCorruptRecord": BAD_LINE})
+    options = {"columnNameOfCorruptRecord": BAD_LINE, "escape": CSV_ESCAPE}
+    parsed = F.from_csv("value", _layout(fields), options)
     return _open(lines, parsed, fields, F.col(BAD_LINE).isNotNull())
 
 

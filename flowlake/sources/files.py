@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from flowlake.operators.parse import READING_COLUMNS
+from flowlake.operators.parse import BAD_LINE, CSV_ESCAPE, READING_COLUMNS
 
 EXTERNAL_FORMATS = ("orc", "parquet", "json")
 
@@ -18,10 +18,11 @@ def read_external(spark: SparkSession, path: str, file_format: str, schema: str)
 
 def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
     """Bulk sensor files with a header line, as text columns, with their place of origin."""
-    columns = [T.StructField(name, T.StringType()) for name in READING_COLUMNS]
-    schema = T.StructType([*columns, T.StructField("_bad_line", T.StringType())])
+    names = [*READING_COLUMNS, BAD_LINE]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     lines = spark.read.csv(
-        path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad_line"
+        path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE,
+        escape=CSV_ESCAPE,
     )
     return lines.select("*", *file_position())
 

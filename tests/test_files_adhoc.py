@@ -27,7 +27,7 @@ def line(sensor="s1", temperature="22.004", location="B-Floor-2", status="low_te
 
 
 def test_bulk_load_by_both_rule_sets(spark, tmp_path):
-    write_csv(tmp_path, "a.csv", [line(), line("s2", location="B-Floor-")])
+    write_csv(tmp_path, "a.csv", [line(), line("s2", location='"B ""2""-Floor-"')])
     write_csv(tmp_path, "b.csv", [line("s3")])
     csv = str(tmp_path)
     path = work_dir(spark, "bulk")
@@ -35,6 +35,7 @@ def test_bulk_load_by_both_rule_sets(spark, tmp_path):
     assert [(r["sensor_id"], r["floor"], r["alert_level"]) for r in rows] == [
         ("s1", 2, 2), ("s2", None, 2), ("s3", 2, 2)
     ]
+    assert [r["building"] for r in rows] == ["B", 'B "2"', "B"]
     assert {r["data_quality"] for r in rows} == {"batch_gpfdist"}
     assert {r["battery_status"] for r in rows} == {"full"}
     assert len({r["id"] for r in rows}) == 3

@@ -115,6 +115,8 @@ def test_sensor_lines(spark):
         reading(battery_level=""),
         reading(location='"A,B-Floor-4"'),
         reading(temperature="24.004"),
+        reading(location='"A ""B""-Floor-4"'),
+        reading(location="A\\B-Floor-4"),
     ]
     rows = by_offset(
         parse.derive_iot(parse.readings_from_csv(messages(spark, lines)), "stream", AS_OF)
@@ -125,7 +127,7 @@ def test_sensor_lines(spark):
         1: None, 3: "malformed", 4: "malformed", 5: "bad_value:temperature", 6: None,
         7: "bad_value:floor", 8: "bad_value:floor", 9: None, 10: None,
         11: "bad_value:temperature_f", 12: "bad_value:sensor_id", 13: "missing:timestamp",
-        14: None, 15: None, 16: None,
+        14: None, 15: None, 16: None, 17: None, 18: None,
     }
     assert (rows[1]["building"], rows[1]["floor"], rows[1]["alert_level"]) == ("Warehouse", 2, 0)
     assert str(rows[1]["temperature_f"]) == "71.60"
@@ -134,6 +136,8 @@ def test_sensor_lines(spark):
     assert rows[9]["alert_level"] == 3 and rows[10]["alert_level"] == 3
     assert rows[14]["battery_status"] == "critical"
     assert rows[15]["location"] == "A,B-Floor-4"
+    assert rows[17]["location"] == 'A "B"-Floor-4'
+    assert rows[18]["location"] == "A\\B-Floor-4"
     # 24.004 is stored as 24.00 but is not within 20..24.
     assert (str(rows[16]["temperature"]), rows[16]["comfort_index"]) == ("24.00", "acceptable")
 
