@@ -96,11 +96,7 @@ def _slice_hashes(data: bytes) -> np.ndarray:
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(begin):
         return np.empty(0, np.uint64)
-    up, down = _up(len(raw) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-        return mix64((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    return poly_windows(raw, begin, end)
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -118,6 +114,15 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
+def poly_windows(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs ``values[begin:end]``."""
+    up, down = _up(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+        return mix64((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
 def sequence_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hashes of all windows of ``n`` words; fewer words make one window, none make no window."""
     if not len(words):
