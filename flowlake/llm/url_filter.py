@@ -33,9 +33,9 @@ RULES = (
 )
 THRESHOLD = 0.5
 DAMPING = 0.85
-ROUNDS = 30
+ROUNDS = 80
 WHOLE = 10**15
-SETTLED = 10**-6
+SETTLED = 10**-4
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)href\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s>]+)"
