@@ -11,10 +11,15 @@ shingles (with fewer words, the whole sequence). Two documents link when
 3. Of the others, the prefix of length n - o + l must share at least l shingles with a partner's
    (l the smaller of both). Each document picks the l of least estimated cost: postings to read
    plus candidates to verify, which fall as l grows.
-4. Equal sets are one class. Within a prefix shingle's postings, classes are first compared with
-   one hub, which joins large groups of near copies in as many pairs as members; after that, only
-   classes of different components are paired, counted against l, and verified on whole sets.
-   No link between components is left out, and none within a component is needed.
+4. Equal sets are one class. Each class is first compared with one hub, of the classes at the head
+   of its prefix shingles' postings the one it shares most of them with, so a large group of near
+   copies takes as many comparisons as it has members.
+5. Classes of different hubs are paired by their prefixes, counted against l, and verified on
+   whole sets. Classes x and y of one hub h share at least R = 80/180 * (|x| + |y|) shingles if they
+   link, and at most min(|x & h|, |y & h|) of them lie in h. Where that is less than R, they share one
+   outside of h, and are paired by those few; the others are paired by size. So the members of a
+   group that all differ from its middle in their own way are not compared with each other.
+   Classes that are linked already are left out; no link between components is.
 
 Empty or NULL texts have no set and link with nothing. A NULL doc_id takes part, but is not the
 smallest of a component unless there is no other. Repeated rows give repeated results. An empty
@@ -163,7 +168,7 @@ def matches_needed(df: np.ndarray, n: int) -> int:
     return int(np.argmin(postings + VERIFY_COST * n * postings / tries)) + 1
 
 
-_SETS = "doc_id long, k1 long, k2 long, n long, matches long, prefix array<long>, tokens binary"
+_SETS = "doc_id long, k1 long, k2 long, n long, matches long, prefix array<long>, tokens binary, crowd long"
 
 
 def _assembler(owner_bits: int):
@@ -174,7 +179,7 @@ def _assembler(owner_bits: int):
         rows = table.to_pylist()
         head = next(r for r in rows if r["ids"] is not None)
         n, first = np.array(head["n"]), np.array(head["first"])
-        tokens, prefix, matches = ([None] * len(n) for _ in range(3))
+        tokens, prefix, matches, crowd = ([None] * len(n) for _ in range(4))
         sent = [r for r in rows if r["ids"] is None]
         if sent:
             token = np.concatenate([_tokens(r, low_bits) for r in sent])
@@ -188,9 +193,9 @@ def _assembler(owner_bits: int):
                     l = matches_needed(df[a:b], n[at])
                     tokens[at] = token[a:b].tobytes()
                     prefix[at] = token[a : a + (b - a) - least_overlap(n[at]) + l].view(np.int64)
-                    matches[at] = l
+                    matches[at], crowd[at] = l, int(df[a:b].sum())
         schema = _arrow(_SETS)
-        columns = [head["ids"], head["k1"], head["k2"], head["n"], matches, prefix, tokens]
+        columns = [head["ids"], head["k1"], head["k2"], head["n"], matches, prefix, tokens, crowd]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return assemble
@@ -207,32 +212,44 @@ def shared_sets(docs: DataFrame) -> DataFrame:
     return written(shared.groupBy("chunk").applyInArrow(_assembler(owner_bits), _SETS), "join-sets")
 
 
-def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared on all shared shingles."""
+def _compare(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, na, b, nb, both, outside) of pairs (a, b) of classes: sizes, common shingles, and the
+    shingles of ``b`` outside of ``a``."""
     sets = classes.select("cid", "n", "tokens")
     left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for na, ta, nb, tb in zip(*(batch.column(c).to_pylist() for c in ("na", "ta", "nb", "tb"))):
-                both = len(np.intersect1d(np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64), True))
-                keep.append(100 * both >= PERCENT * (na + nb - both))
+            both, outside = [], []
+            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
+                x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
+                rest = np.setdiff1d(y, x, assume_unique=True)
+                both.append(len(y) - len(rest))
+                outside.append(rest.view(np.int64))
+            columns = [batch.column(c) for c in ("a", "na", "b", "nb")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], names=["a", "b"]
-            ).filter(pa.array(keep, pa.bool_()))
+                [*columns, pa.array(both, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
+                names=["a", "na", "b", "nb", "both", "outside"],
+            )
+
+    joined = pairs.join(right, "b").join(left, "a").select("a", "na", "ta", "b", "nb", "tb")
+    return joined.mapInArrow(compare, "a long, na long, b long, nb long, both long, outside array<long>")
+
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "na", "ta", "b", "nb", "tb")
-    return joined.mapInArrow(compare, "a long, b long")
+LINKED = f"both * 100 >= (na + nb - both) * {PERCENT}"
 
 
-def _hub_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the smallest class that has the same least-hashed prefix shingle."""
-    spread = F.array_sort(F.transform("prefix", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t"))))
-    keys = classes.select("cid", F.try_element_at(spread, F.lit(1))["t"].alias("token"))
-    hubs = keys.groupBy("token").agg(F.min("cid").alias("hub"), F.count("*").alias("c")).filter("c > 1")
-    return keys.join(hubs, "token").filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
+def _hubs(postings: DataFrame) -> DataFrame:
+    """(a, b): each class ``b`` of (token, cid, crowd) and the hub ``a`` it shares most tokens with.
+
+    The hub of a token is the class with the most crowded shingles, which is near the middle of a
+    group of near copies.
+    """
+    order = F.struct("crowd", "cid")
+    hubs = postings.groupBy("token").agg(F.max(order)["cid"].alias("hub"), F.count("*").alias("c")).filter("c > 1")
+    shared = postings.join(hubs, "token").filter("cid <> hub").groupBy("cid", "hub").agg(F.count("*").alias("shared"))
+    return shared.groupBy("cid").agg(F.max(F.struct("shared", "hub"))["hub"].alias("a")).select("a", F.col("cid").alias("b"))
 
 
 def _rooted(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -240,24 +257,66 @@ def _rooted(classes: DataFrame, edges: DataFrame) -> DataFrame:
     return classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def _cross_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs of classes in different components with enough shared prefix shingles."""
-    postings = classes.select("cid", "root", "n", "matches", F.explode("prefix").alias("token"))
+def _near(na: str, nb: str):
+    return (F.col(na) * 100 >= F.col(nb) * PERCENT) & (F.col(nb) * 100 >= F.col(na) * PERCENT)
+
+
+def _side(rows: DataFrame, group: str, side: str) -> DataFrame:
+    return rows.select("token", F.col(group).alias(f"g{side}"), F.col("cid").alias(side), F.col("root").alias(f"r{side}"),
+                       F.col("n").alias(f"n{side}"), F.col("matches").alias(f"l{side}"))
+
+
+def _between_hubs(classes: DataFrame) -> DataFrame:
+    """Pairs of classes of different hubs and components with enough shared prefix shingles."""
+    postings = classes.select("cid", "root", "hub", "n", "matches", F.explode("prefix").alias("token"))
     mixed = (
-        postings.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low <> high").select("token")
+        postings.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min("hub").alias("h"), F.max("hub").alias("i"))
+        .filter("r <> s AND h <> i").select("token")
     )
     postings = written(postings.join(mixed, "token", "left_semi"), "join-postings")
-    groups = postings.select("token", "root").distinct()
-    across = groups.withColumnRenamed("root", "ra").join(groups.withColumnRenamed("root", "rb"), "token").filter("ra < rb")
-    a = postings.select("token", F.col("root").alias("ra"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("matches").alias("la"))
-    b = postings.select("token", F.col("root").alias("rb"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("matches").alias("lb"))
-    near = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
+    groups = postings.select("token", "hub").distinct()
+    across = groups.withColumnRenamed("hub", "ga").join(groups.withColumnRenamed("hub", "gb"), "token").filter("ga < gb")
     return (
-        across.join(a, ["token", "ra"]).join(b, ["token", "rb"]).filter(near)
+        across.join(_side(postings, "hub", "a"), ["token", "ga"]).join(_side(postings, "hub", "b"), ["token", "gb"])
+        .filter((F.col("ra") != F.col("rb")) & _near("na", "nb"))
         .groupBy("a", "b", F.least("la", "lb").alias("l")).agg(F.count("*").alias("shared"))
-        .filter("shared >= l").select("a", "b")
+        .filter("shared >= l").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+
+
+def _outside(compared: DataFrame) -> DataFrame:
+    """(token, cid) by hub and shingle outside of it."""
+    rows = compared.select("a", F.col("b").alias("cid"), F.explode("outside").alias("shingle"))
+    return rows.select(F.struct("a", "shingle").alias("token"), "cid")
+
+
+def _within_hubs(classes: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs of classes of one hub and different components that share a shingle outside of it."""
+    postings = _outside(compared).join(classes.select("cid", "root", "n", "matches"), "cid")
+    mixed = postings.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("token")
+    postings = written(postings.join(mixed, "token", "left_semi"), "join-outside")
+    groups = postings.select("token", "root").distinct()
+    across = groups.withColumnRenamed("root", "ga").join(groups.withColumnRenamed("root", "gb"), "token").filter("ga < gb")
+    return (
+        across.join(_side(postings, "root", "a"), ["token", "ga"]).join(_side(postings, "root", "b"), ["token", "gb"])
+        .filter(_near("na", "nb")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
+
+
+def _by_size(classes: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs of classes of one hub and different components whose common shingles may all lie in it."""
+    # R <= both of either, as a limit to the other's size.
+    limit = F.floor(F.col("both") * (100 + PERCENT) / PERCENT).cast("long") - F.col("nb")
+    rows = written(
+        compared.select(F.col("a").alias("hub"), F.col("b").alias("cid"), F.col("nb").alias("n"), limit.alias("limit"), F.expr(LINKED).alias("linked"))
+        .join(classes.select("cid", "root"), "cid"),
+        "join-limits",
     )
+    sizes = rows.select("hub", "n").distinct()
+    alone = rows.filter("NOT linked").select("hub", F.col("cid").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("limit").alias("lx"))
+    reach = alone.join(sizes, "hub").filter((F.col("n") <= F.col("lx")) & _near("n", "nx"))
+    pairs = reach.join(rows, ["hub", "n"]).filter("x <> cid AND rx <> root AND nx <= limit")
+    return pairs.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
 
 
 def similarity_components(docs: DataFrame) -> DataFrame:
@@ -265,14 +324,21 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     sets = shared_sets(docs)
     classes = written(
         sets.filter("tokens IS NOT NULL").groupBy("k1", "k2", "n")
-        .agg(F.first("matches").alias("matches"), F.first("prefix").alias("prefix"), F.first("tokens").alias("tokens"))
+        .agg(*[F.first(c).alias(c) for c in ("matches", "prefix", "tokens", "crowd")])
         .withColumn("cid", F.monotonically_increasing_id()),
         "join-classes",
     )
-    near = written(_verify(_hub_pairs(classes).distinct(), classes), "join-links")
-    rooted = written(_rooted(classes.select("cid", "n", "matches", "prefix"), near), "join-rooted")
-    more = written(_verify(_cross_pairs(rooted), classes), "join-links")
-    linked = _rooted(classes.select("cid", "k1", "k2", "n"), near.unionByName(more))
+    lists = classes.select("cid", "crowd", F.explode("prefix").alias("token"))
+    first = written(_compare(_hubs(lists), classes), "join-hubs")
+    crowd = classes.select("cid", "crowd")
+    second = written(_compare(_hubs(_outside(first).join(crowd, "cid")), classes).filter(LINKED).select("a", "b"), "join-links")
+    links = first.filter(LINKED).select("a", "b").unionByName(second)
+    hub = first.select(F.col("b").alias("cid"), F.col("a").alias("hub"))
+    rooted = _rooted(classes.select("cid", "n", "matches", "prefix"), links).join(hub, "cid", "left")
+    rooted = written(rooted.withColumn("hub", F.coalesce("hub", "cid")), "join-rooted")
+    pairs = _between_hubs(rooted).unionByName(_within_hubs(rooted, first)).unionByName(_by_size(rooted, first)).distinct()
+    more = written(_compare(pairs, classes).filter(LINKED).select("a", "b"), "join-links")
+    linked = _rooted(classes.select("cid", "k1", "k2", "n"), links.unionByName(more))
     # A class is named by its key; classes with no partner are their own component.
     smallest = sets.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("least"))
     rows = smallest.join(linked.select("k1", "k2", "n", "root"), ["k1", "k2", "n"], "left")

@@ -85,22 +85,41 @@ def test_empty_table(documents):
     assert ngram_join.similarity_components(documents([(1, None), (2, "")])).count() == 2
 
 
-def test_one_large_group_needs_few_pairs(spark, documents):
-    """Pairs to verify grow with the members of a group of near copies, not with their square."""
-    rng = random.Random(4)
-    base = [f"b{i}" for i in range(150)]
+def family(size, edits, seed=4, words=150):
+    """Near copies of one text, each with its own changes, near the threshold from each other."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
     rows = []
-    for i in range(400):
+    for i in range(size):
         text = list(base)
-        text[rng.randrange(150)] = f"x{i}"
+        for _ in range(rng.choice(edits)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.choice([0, 1, 1, 1, 2])] = [f"x{rng.randrange(10**6)}"]
         rows.append((i, " ".join(text)))
-    docs = documents(rows)
-    sets = ngram_join.shared_sets(docs)
-    classes = sets.filter("tokens IS NOT NULL").withColumnRenamed("doc_id", "cid")
-    assert classes.count() == 400
-    assert ngram_join._hub_pairs(classes).distinct().count() < 400
-    got = ngram_join.similarity_components(docs).collect()
-    assert {r.component_id for r in got} == {0}
+    return rows
+
+
+@pytest.mark.parametrize("edits", [(0, 1, 2, 3), (2, 3, 4), (3, 4, 5, 6)])
+def test_large_groups_near_the_threshold(documents, edits):
+    rows = family(150, edits)
+    got = ngram_join.similarity_components(documents(rows)).collect()
+    assert key(tuple(r) for r in got) == key(brute(rows))
+
+
+def test_one_large_group_needs_few_pairs(spark, documents):
+    """Pairs to verify grow with the members of a group of near copies, not with their square."""
+    counts = []
+    for size in (200, 400):
+        sets = ngram_join.shared_sets(documents(family(size, (0, 1, 2, 3, 4, 5))))
+        classes = sets.filter("tokens IS NOT NULL").withColumnRenamed("doc_id", "cid")
+        lists = classes.selectExpr("cid", "crowd", "explode(prefix) AS token")
+        first = ngram_join._compare(ngram_join._hubs(lists), classes)
+        rooted = ngram_join._rooted(classes, first.filter(ngram_join.LINKED).select("a", "b"))
+        hub = first.selectExpr("b AS cid", "a AS hub")
+        rooted = rooted.join(hub, "cid", "left").selectExpr("*", "coalesce(hub, cid) AS h").drop("hub").withColumnRenamed("h", "hub")
+        parts = ngram_join._between_hubs(rooted), ngram_join._within_hubs(rooted, first), ngram_join._by_size(rooted, first)
+        counts.append(first.count() + sum(p.count() for p in parts))
+    assert counts[0] < 200 * 6 and counts[1] < 400 * 6
 
 
 def test_one_of_each(documents):
