@@ -46,11 +46,12 @@ for _i, _set in enumerate(_BYTES.values()):
     _CLASSES[list(_set), _i] = 1
 _CLASSES[128:, len(_BYTES)] = 1
 N_STATS = _CLASSES.shape[1] + 13
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(SPACES)] = True
 
 
 def _word_lengths(raw: np.ndarray) -> np.ndarray:
-    space = np.isin(raw, np.frombuffer(SPACES, np.uint8))
-    cuts = np.flatnonzero(np.concatenate(([True], space, [True])))
+    cuts = np.concatenate(([-1], np.flatnonzero(_IS_SPACE[raw]), [len(raw)]))
     lengths = np.diff(cuts) - 1
     return lengths[lengths > 0]
 
