@@ -28,7 +28,7 @@ table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -212,26 +212,35 @@ def shared_sets(docs: DataFrame) -> DataFrame:
     return written(shared.groupBy("chunk").applyInArrow(_assembler(owner_bits), _SETS), "join-sets")
 
 
-def _compare(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+Expand = Callable[[list], list[np.ndarray]]
+
+
+def hashes_of(packed: list[bytes]) -> list[np.ndarray]:
+    """Sets from packed 64-bit hashes."""
+    return [np.frombuffer(p, np.uint64) for p in packed]
+
+
+def _compare(pairs: DataFrame, classes: DataFrame, expand: Expand) -> DataFrame:
     """(a, na, b, nb, both, outside) of pairs (a, b) of classes: sizes, common shingles, and the
-    shingles of ``b`` outside of ``a``."""
+    shingles of ``b`` outside of ``a``. ``expand`` makes sets of a column of ``tokens``."""
     sets = classes.select("cid", "n", "tokens")
     left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, outside = [], []
-            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                rest = np.setdiff1d(y, x, assume_unique=True)
-                both.append(len(y) - len(rest))
-                outside.append(rest.view(np.int64))
-            columns = [batch.column(c) for c in ("a", "na", "b", "nb")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(both, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
-                names=["a", "na", "b", "nb", "both", "outside"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch, both, outside = whole.slice(at, 256), [], []
+                sets = expand(batch.column("ta").to_pylist() + batch.column("tb").to_pylist())
+                for x, y in zip(sets[: batch.num_rows], sets[batch.num_rows :]):
+                    rest = np.setdiff1d(y, x, assume_unique=True)
+                    both.append(len(y) - len(rest))
+                    outside.append(rest.view(np.int64))
+                columns = [batch.column(c) for c in ("a", "na", "b", "nb")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(both, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
+                    names=["a", "na", "b", "nb", "both", "outside"],
+                )
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "na", "ta", "b", "nb", "tb")
     return joined.mapInArrow(compare, "a long, na long, b long, nb long, both long, outside array<long>")
@@ -319,6 +328,22 @@ def _by_size(classes: DataFrame, compared: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
 
 
+def link_classes(classes: DataFrame, expand: Expand) -> DataFrame:
+    """Links (a, b) whose components are those of all similar pairs of classes that share enough of
+    their prefixes. ``classes``: cid, n (size of the set), tokens, prefix, matches, crowd."""
+    lists = classes.select("cid", "crowd", F.explode("prefix").alias("token"))
+    first = written(_compare(_hubs(lists), classes, expand), "join-hubs")
+    crowd = classes.select("cid", "crowd")
+    second = written(_compare(_hubs(_outside(first).join(crowd, "cid")), classes, expand).filter(LINKED).select("a", "b"), "join-links")
+    links = first.filter(LINKED).select("a", "b").unionByName(second)
+    hub = first.select(F.col("b").alias("cid"), F.col("a").alias("hub"))
+    rooted = _rooted(classes.select("cid", "n", "matches", "prefix"), links).join(hub, "cid", "left")
+    rooted = written(rooted.withColumn("hub", F.coalesce("hub", "cid")), "join-rooted")
+    pairs = _between_hubs(rooted).unionByName(_within_hubs(rooted, first)).unionByName(_by_size(rooted, first)).distinct()
+    more = written(_compare(pairs, classes, expand).filter(LINKED).select("a", "b"), "join-links")
+    return links.unionByName(more)
+
+
 def similarity_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     sets = shared_sets(docs)
@@ -328,17 +353,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
         .withColumn("cid", F.monotonically_increasing_id()),
         "join-classes",
     )
-    lists = classes.select("cid", "crowd", F.explode("prefix").alias("token"))
-    first = written(_compare(_hubs(lists), classes), "join-hubs")
-    crowd = classes.select("cid", "crowd")
-    second = written(_compare(_hubs(_outside(first).join(crowd, "cid")), classes).filter(LINKED).select("a", "b"), "join-links")
-    links = first.filter(LINKED).select("a", "b").unionByName(second)
-    hub = first.select(F.col("b").alias("cid"), F.col("a").alias("hub"))
-    rooted = _rooted(classes.select("cid", "n", "matches", "prefix"), links).join(hub, "cid", "left")
-    rooted = written(rooted.withColumn("hub", F.coalesce("hub", "cid")), "join-rooted")
-    pairs = _between_hubs(rooted).unionByName(_within_hubs(rooted, first)).unionByName(_by_size(rooted, first)).distinct()
-    more = written(_compare(pairs, classes).filter(LINKED).select("a", "b"), "join-links")
-    linked = _rooted(classes.select("cid", "k1", "k2", "n"), links.unionByName(more))
+    linked = _rooted(classes.select("cid", "k1", "k2", "n"), link_classes(classes, hashes_of))
     # A class is named by its key; classes with no partner are their own component.
     smallest = sets.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("least"))
     rows = smallest.join(linked.select("k1", "k2", "n", "root"), ["k1", "k2", "n"], "left")

@@ -33,7 +33,7 @@ STRIDE = 32
 BLOCK = 1 << 18
 # About 0.2 KB each, in every Python worker.
 CACHED_WORDS = 400_000
-CACHED_CORES = 1_500_000
+CACHED_CORES = 1_000_000
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 

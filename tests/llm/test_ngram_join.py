@@ -113,7 +113,7 @@ def test_one_large_group_needs_few_pairs(spark, documents):
         sets = ngram_join.shared_sets(documents(family(size, (0, 1, 2, 3, 4, 5))))
         classes = sets.filter("tokens IS NOT NULL").withColumnRenamed("doc_id", "cid")
         lists = classes.selectExpr("cid", "crowd", "explode(prefix) AS token")
-        first = ngram_join._compare(ngram_join._hubs(lists), classes)
+        first = ngram_join._compare(ngram_join._hubs(lists), classes, ngram_join.hashes_of)
         rooted = ngram_join._rooted(classes, first.filter(ngram_join.LINKED).select("a", "b"))
         hub = first.selectExpr("b AS cid", "a AS hub")
         rooted = rooted.join(hub, "cid", "left").selectExpr("*", "coalesce(hub, cid) AS h").drop("hub").withColumnRenamed("h", "hub")
