@@ -6,10 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from flowlake.checks.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
 # No SQL gives a fitted model or a folder listing.
 ROWS_ONLY = {"credit_model", "model_report", "credit_tiers_trained", "file_inventory"}
 
@@ -32,7 +31,8 @@ def test_rows_only(spark, name):
 
 def test_contract(spark):
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     df = entry.entry(spark)
     assert df.count() == 4
     assert df.columns == ["revenue_bucket", "order_count", "revenue", "avg_order_value", "bucket_rank"]
