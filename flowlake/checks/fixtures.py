@@ -33,46 +33,38 @@ FROM (SELECT o_orderkey AS seq, 'ORD-' || CAST(o_orderkey AS VARCHAR(20)) AS ord
       FROM {orders} JOIN {customer} ON o_custkey = c_custkey
            JOIN {nation} ON c_nationkey = n_nationkey) o""",
     "fx_iot": """
-SELECT event_id AS seq, ts AS event_time,
-       'SENS-' || CAST(user_id % 10 AS VARCHAR(20)) AS sensor_id,
-       CASE WHEN event_id % 50 = 0 THEN 'Rooftop'
-            ELSE CASE event_id % 5 WHEN 0 THEN 'Warehouse' WHEN 1 THEN 'Parking'
-                                   WHEN 2 THEN 'Rooftop' WHEN 3 THEN 'ColdStorage'
-                                   ELSE 'LoadingBay' END
-                 || '-Floor-' || CAST(1 + user_id % 5 AS VARCHAR(20)) END AS location,
-       CAST(15 + (event_id * 37 % 3000) / 100.0 AS DECIMAL(5,2)) AS temperature,
-       CAST(25 + (event_id * 53 % 6500) / 100.0 AS DECIMAL(5,2)) AS humidity,
-       CAST(CASE WHEN event_id % 97 = 0 THEN 850 ELSE 980 + (event_id * 71 % 6000) / 100.0 END
-            AS DECIMAL(6,2)) AS pressure,
-       CAST((event_id * 29 % 10000) / 100.0 AS DECIMAL(5,2)) AS battery_level,
-       CASE WHEN event_id % 211 = 0 THEN 'offline'
-            WHEN event_id * 29 % 10000 < 3000 THEN 'low_battery'
-            WHEN event_id * 37 % 3000 > 2000 THEN 'high_temp'
-            WHEN event_id * 37 % 3000 < 300 THEN 'low_temp'
-            WHEN event_id * 53 % 6500 > 5000 THEN 'high_humidity'
-            ELSE 'normal' END AS status
-FROM {events}""",
+SELECT seq, event_time, sensor_id, location,
+       CAST((cents * 3 % 7001) / 100.0 - 10 AS DECIMAL(5,2)) AS temperature,
+       CAST((cents * 7 % 11001) / 100.0 AS DECIMAL(5,2)) AS humidity,
+       CAST(880 + (cents * 11 % 24001) / 100.0 AS DECIMAL(6,2)) AS pressure,
+       CAST((cents * 13 % 10001) / 100.0 AS DECIMAL(5,2)) AS battery_level, status
+FROM (SELECT event_id AS seq, ts AS event_time, CAST(ROUND(value * 100) AS BIGINT) + event_id AS cents,
+             'SENS-' || CAST(user_id % 12 AS VARCHAR(20)) AS sensor_id,
+             CASE user_id % 4 WHEN 0 THEN 'Harbor' WHEN 1 THEN 'Library' WHEN 2 THEN 'Depot' ELSE 'Annex' END
+             || CASE WHEN user_id % 17 = 0 THEN '' ELSE '-Floor-' || CAST(user_id % 9 AS VARCHAR(20)) END AS location,
+             CASE event_type WHEN 'view' THEN 'normal' WHEN 'click' THEN 'high_temp'
+                             WHEN 'signup' THEN 'low_temp' WHEN 'purchase' THEN 'low_battery'
+                             WHEN 'error' THEN CASE WHEN user_id % 2 = 0 THEN 'high_humidity' ELSE 'unplugged' END
+             END AS status
+      FROM {events}) e""",
     "fx_account_changes": """
-SELECT seq, account_id, consumer_id, lender_id, product, sanctioned_amount, outstanding_amount,
-       CASE WHEN bad THEN CASE WHEN seq % 20 < 11 THEN '60' ELSE '90+' END
-            ELSE CASE WHEN seq % 10 < 8 THEN 'current' ELSE '30' END END AS dpd_bucket,
-       CASE WHEN bad THEN CASE WHEN seq % 4 < 3 THEN 'delinquent' ELSE 'active' END
-            ELSE CASE WHEN seq % 20 < 17 THEN 'active' ELSE 'closed' END END AS status,
-       opened_ms, event_ms
-FROM (SELECT *, (seq * 7907 % 1000) < 50 + 550 * util_pct / 100.0
-                + CASE WHEN product IN ('credit_card', 'personal_loan') THEN 80 ELSE 0 END AS bad,
-             CAST(sanctioned_amount * util_pct / 100 AS DECIMAL(12,2)) AS outstanding_amount
-      FROM (SELECT o_orderkey AS seq, 100001 + o_custkey AS account_id,
-                   1000 + o_custkey % 900 AS consumer_id,
-                   CAST(1 + o_custkey % 20 AS INT) AS lender_id,
-                   CASE o_custkey % 5 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'personal_loan'
-                                      WHEN 2 THEN 'auto_loan' WHEN 3 THEN 'mortgage'
-                                      ELSE 'line_of_credit' END AS product,
-                   CAST(1000 + o_custkey * 7919 % 49000 AS DECIMAL(12,2)) AS sanctioned_amount,
-                   10 + o_orderkey * 31 % 86 AS util_pct,
-                   1500000000000 + o_custkey * 3600000 AS opened_ms,
-                   1600000000000 + o_orderkey * 60000 AS event_ms
-            FROM {orders}) a) b""",
+SELECT seq, account_id, consumer_id, lender_id, product, sanctioned_amount,
+       CAST(sanctioned_amount * used_pct / 100 AS DECIMAL(12,2)) AS outstanding_amount,
+       dpd_bucket, status, opened_ms, event_ms
+FROM (SELECT o_orderkey AS seq, 500000 + o_custkey AS account_id,
+             1000 + o_custkey % 900 AS consumer_id, CAST(o_custkey % 7 AS INT) AS lender_id,
+             CASE o_custkey % 5 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'personal_loan'
+                                WHEN 2 THEN 'auto_loan' WHEN 3 THEN 'mortgage'
+                                ELSE 'line_of_credit' END AS product,
+             CAST(2400 + o_custkey % 300 * 125 AS DECIMAL(12,2)) AS sanctioned_amount,
+             CAST(ROUND(o_totalprice * 100) AS BIGINT) % 121 AS used_pct,
+             CASE o_orderpriority WHEN '1-URGENT' THEN '90+' WHEN '2-HIGH' THEN '60'
+                                  WHEN '3-MEDIUM' THEN '30' ELSE 'current' END AS dpd_bucket,
+             CASE o_orderstatus WHEN 'P' THEN 'delinquent' WHEN 'F' THEN 'closed'
+                                ELSE 'active' END AS status,
+             1500000000000 + o_custkey * 3600000 AS opened_ms,
+             1600000000000 + o_orderkey * 60000 AS event_ms
+      FROM {orders}) a""",
     "fx_scores": """
 SELECT event_id AS seq, event_id AS score_event_id, 1000 + user_id * 7 % 1200 AS consumer_id,
        CAST(300 + event_id * 17 % 551 AS INT) AS score_value,

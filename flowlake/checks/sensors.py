@@ -32,9 +32,10 @@ STREAM_SQL = f"""CASE status WHEN 'normal' THEN 0 WHEN 'high_temp' THEN 1 WHEN '
        THEN 'comfortable'
        WHEN temperature >= 18 AND temperature <= 26 AND humidity >= 35 AND humidity <= 65
        THEN 'acceptable' ELSE 'uncomfortable' END AS comfort_index,
-  CASE WHEN battery_level < 20 THEN 'critical' WHEN battery_level < 40 THEN 'low'
-       WHEN battery_level < 80 THEN 'medium' ELSE 'good' END AS battery_status,
-  CASE WHEN pressure < 900 OR pressure > 1100 THEN 'suspicious' ELSE 'valid' END AS data_quality"""
+  CASE WHEN battery_level >= 80 THEN 'good' WHEN battery_level >= 40 THEN 'medium'
+       WHEN battery_level >= 20 THEN 'low' ELSE 'critical' END AS battery_status,
+  CASE WHEN temperature BETWEEN -40 AND 50 AND humidity BETWEEN 0 AND 100
+       AND pressure BETWEEN 900 AND 1100 THEN 'valid' ELSE 'suspicious' END AS data_quality"""
 
 BULK_SQL = f"""CASE WHEN status = 'high_humidity' THEN 1
     WHEN status IN ('low_battery', 'high_temp', 'low_temp') THEN 2 ELSE 0 END AS alert_level,
@@ -45,8 +46,8 @@ BULK_SQL = f"""CASE WHEN status = 'high_humidity' THEN 1
        THEN 'comfortable'
        WHEN temperature >= 18 AND temperature <= 28 THEN 'acceptable'
        ELSE 'uncomfortable' END AS comfort_index,
-  CASE WHEN battery_level < 20 THEN 'critical' WHEN battery_level < 40 THEN 'low'
-       WHEN battery_level < 80 THEN 'ok' ELSE 'full' END AS battery_status,
+  CASE WHEN battery_level >= 80 THEN 'full' WHEN battery_level >= 40 THEN 'ok'
+       WHEN battery_level >= 20 THEN 'low' ELSE 'critical' END AS battery_status,
   'batch_gpfdist' AS data_quality"""
 
 TABLE_SQL = f"{IOT}, t AS (SELECT *, {STREAM_SQL} FROM fx_iot) "
