@@ -112,15 +112,21 @@ def stream_inquiries(spark, sf_dir):
 @check(f"""{orders.ORDERS} SELECT COUNT(*) AS rows_read, CAST(0 AS BIGINT) AS rows_late
 FROM fx_orders""")
 def stream_progress(spark, sf_dir):
-    """What the order job reports to have read."""
+    """What the order job reports to have read, in all its batches."""
     path = work_dir(spark, "progress")
-    query = jobs.run_orders(
-        replay(spark, sf_dir, "orders"), path, f"{path}-checkpoints",
-        available_now=True, as_of=fx.AS_OF,
-    )
-    finish(query)
-    log = progress.progress(spark, query)
-    return log.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))
+    log = progress.ProgressLog(spark, f"{path}-log")
+    spark.streams.addListener(log)
+    try:
+        query = jobs.run_orders(
+            replay(spark, sf_dir, "orders"), path, f"{path}-checkpoints",
+            available_now=True, as_of=fx.AS_OF,
+        )
+        finish(query)
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    mine = log.read().filter(F.col("run_id") == str(query.runId))
+    return mine.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))
 
 
 FEEDS = fx.ctes("fx_account_changes", "fx_scores", "fx_inquiries")

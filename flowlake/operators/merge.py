@@ -104,6 +104,19 @@ def read_merged(
     return state_rows(fold_state(states, rule), rule)
 
 
+def refuse_folded(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Fail where a batch would be written below the last snapshot and so never be read.
+
+    A job that starts anew with another checkpoint counts its batches from 0 again.
+    """
+    logged = read_table(spark, f"{path}/snapshot_log", SNAPSHOT_LOG)
+    upto = logged.agg(F.max("upto")).first()[0]
+    if upto is not None and batch_id <= upto:
+        raise ValueError(
+            f"batch {batch_id} is folded already (up to {upto}): this table belongs to another checkpoint"
+        )
+
+
 def compact(
     spark: SparkSession, path: str, schema, rule: MergeRule = ACCOUNT_MERGE,
     upto: int | None = None,

@@ -19,7 +19,12 @@ DATA_CHANGING = (
 )
 MAX_ROWS = 500
 TIMEOUT_SECONDS = 15.0
+JOB_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
 
+# What a statement that only reads begins with; all others need a confirmation.
+READING = ("SELECT", "WITH", "VALUES", "TABLE", "FROM", "SHOW", "DESCRIBE", "DESC", "EXPLAIN")
+
+_READING = re.compile(rf"[(\s]*({'|'.join(READING)})\b", re.IGNORECASE)
 _CHANGING = re.compile(rf"\b({'|'.join(DATA_CHANGING)})\b", re.IGNORECASE)
 
 
@@ -41,6 +46,7 @@ class QueryResult:
     rows: list[Row]
     truncated: bool
     elapsed: float
+    frame: DataFrame
 
     @property
     def row_count(self) -> int:
@@ -48,13 +54,14 @@ class QueryResult:
 
 
 def check_statement(sql: str, confirm: bool = False) -> str:
-    """One statement, not empty, and confirmed where it has a data-changing word."""
+    """One statement, not empty, and confirmed where it has a data-changing word or does not
+    begin as one that reads."""
     statement = sql.strip().rstrip(";").rstrip()
     if not statement:
         raise StatementRefused("empty query")
     if ";" in statement:
         raise StatementRefused("only a single statement is allowed per run")
-    if _CHANGING.search(statement) and not confirm:
+    if not confirm and (_CHANGING.search(statement) or not _READING.match(statement)):
         raise NeedsConfirmation("this looks like a data-changing statement")
     return statement
 
@@ -74,10 +81,12 @@ def guarded_sql(
     """Run one statement with a row bound and a time limit. Values are bound by ``args``.
 
     At the limit the statement's jobs are cancelled; a task ends at its next row from a scan.
+    ``frame`` of the result is the whole answer, not run yet where the statement is a query.
     """
     statement = check_statement(sql, confirm)
     context = spark.sparkContext
     group = f"adhoc-{uuid.uuid4().hex}"
+    before = {name: context.getLocalProperty(name) for name in JOB_PROPERTIES}
     context.setJobGroup(group, "guarded SQL", interruptOnCancel=True)
     done = threading.Event()
     watch = threading.Thread(target=_cancel_after, args=(context, group, timeout, done), daemon=True)
@@ -92,10 +101,10 @@ def guarded_sql(
         raise
     finally:
         done.set()
-        context.setLocalProperty("spark.jobGroup.id", None)
-        context.setLocalProperty("spark.job.description", None)
+        for name, value in before.items():
+            context.setLocalProperty(name, value)
     elapsed = round(time.monotonic() - start, 3)
-    return QueryResult(df.columns, result.rows, result.truncated, elapsed)
+    return QueryResult(df.columns, result.rows, result.truncated, elapsed, df)
 
 
 def open_accounts(accounts: DataFrame) -> DataFrame:

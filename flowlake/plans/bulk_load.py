@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
@@ -21,22 +24,28 @@ def bulk_rows(lines: DataFrame, profile: str, as_of=None) -> DataFrame:
 
 def bulk_load(
     spark: SparkSession, csv_path: str, path: str, profile: str = "stream", as_of=None,
-    reject_limit: int | None = None,
+    reject_limit: int | None = None, load: str | None = None,
 ) -> DataFrame:
     """Load files into ``path``/readings; rejected lines go to ``path``/rejects.
 
-    Rejects are written first and counted from there, so a load over its limit fails
-    before the readings table is touched. The readings are appended in one job, which the
-    file committer publishes as a whole.
+    A load owns the folder ``load=<name>`` in both, so a named load that is repeated replaces its
+    own rows and rejects and nobody else's; a load without a name is a new one. The files are
+    parsed once. Rejects are written first, so a load over its limit leaves them and fails
+    before the readings table is touched.
     """
+    load = uuid.uuid4().hex if load is None else load
     rows = bulk_rows(read_bulk_csv(spark, csv_path), profile, as_of)
-    good, bad = parse.split_rejects(rows)
-    bad.write.mode("overwrite").parquet(f"{path}/rejects")
-    rejected = spark.read.schema(bad.schema).parquet(f"{path}/rejects").count()
-    limit = REJECT_LIMITS[profile] if reject_limit is None else reject_limit
-    parse.enforce_limit(rejected, limit)
-    target = parse.target_rows(with_source_id(good), schemas.READINGS)
-    target.write.mode("append").parquet(f"{path}/readings")
+    rows = rows.withColumn("load", F.lit(load)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rejected = rows.agg(F.count("reject_reason")).first()[0]
+        good, bad = parse.split_rejects(rows)
+        bad.drop("load").write.mode("overwrite").parquet(f"{path}/rejects/load={load}")
+        limit = REJECT_LIMITS[profile] if reject_limit is None else reject_limit
+        parse.enforce_limit(rejected, limit)
+        target = parse.target_rows(with_source_id(good), schemas.READINGS)
+        target.write.mode("overwrite").parquet(f"{path}/readings/load={load}")
+    finally:
+        rows.unpersist()
     return read_table(spark, f"{path}/readings", schemas.READINGS)
 
 

@@ -167,7 +167,7 @@ def _wald(information: np.ndarray, coef: list[float]):
         std_err = [math.nan] * len(coef)
     z = [b / s if s else math.nan for b, s in zip(coef, std_err)]
     p = [math.erfc(abs(v) / math.sqrt(2)) for v in z]
-    odds = [math.exp(min(b, 700.0)) for b in coef]
+    odds = [math.exp(b) if b < 709.0 else math.inf for b in coef]
     return std_err, z, p, odds, float(np.linalg.cond(information))
 
 

@@ -17,32 +17,38 @@ def read_external(spark: SparkSession, path: str, file_format: str, schema: str)
 
 
 def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Bulk sensor files with a header line, as text columns, with their place of origin."""
+    """Bulk sensor files with a header line, as text columns, with their place of origin.
+
+    The place is the file, a hash of the line's values and the number of the line among its equals
+    in that file, so it depends neither on splits nor on the order of tasks. Equal lines are
+    counted in each task before the shuffle and spelt out again behind it.
+    """
     names = [*READING_COLUMNS, BAD_LINE]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     lines = spark.read.csv(
         path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE,
         escape=CSV_ESCAPE,
     )
-    return lines.select("*", *file_position())
-
-
-def file_position() -> list:
-    """Columns naming the file, the split and the row within the task, unique together."""
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return [
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("source_block"),
-        row.alias("source_row"),
-    ]
+    placed = lines.select(*names, F.col("_metadata.file_path").alias("source_file"))
+    counted = placed.groupBy(*placed.columns).agg(F.count("*").alias("_copies"))
+    # Values that are NULL have no field, so they differ from empty ones.
+    content = F.md5(F.to_json(F.struct(*names)))
+    return counted.select(
+        *placed.columns, content.alias("source_hash"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("source_copy"),
+    )
 
 
 def with_source_id(df: DataFrame) -> DataFrame:
-    """A surrogate row id made from the source position: the same after a replay."""
+    """A surrogate row id made from the source position: the same after a replay.
+
+    Rows of files have the name of their load in it where there is a column ``load``.
+    """
     if "offset" in df.columns:
         parts = ("topic", "partition", "offset")
     else:
-        parts = ("source_file", "source_block", "source_row")
+        load = ("load",) if "load" in df.columns else ()
+        parts = (*load, "source_file", "source_hash", "source_copy")
     return df.withColumn("id", F.concat_ws(":", *[F.col(part).cast("string") for part in parts]))
 
 

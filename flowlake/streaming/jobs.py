@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake import schemas
-from flowlake.operators import parse
+from flowlake.operators import merge, parse
 from flowlake.sinks.tables import append_batch, fan_out, read_table
 from flowlake.sources import topics
 from flowlake.sources.files import with_source_id
@@ -31,21 +31,30 @@ CHANGE_LOG = schemas.ACCOUNTS + ", topic STRING, partition INT, offset BIGINT, b
 def run_job(
     messages: DataFrame, name: str, parse_rows: Callable[[DataFrame], DataFrame],
     targets: Targets, path: str, checkpoint: str, settings: JobSettings,
-    available_now: bool = False,
+    available_now: bool = False, admit: Callable[[SparkSession, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start a job. ``targets`` maps good rows to the tables (below ``path``) they go to."""
+    """Start a job. ``targets`` maps good rows to the tables (below ``path``) they go to.
+
+    ``admit`` may refuse the first batch of a run, by raising, before anything is written.
+    """
+    admitted = admit is None
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal admitted
+        if not admitted:
+            admit(batch.sparkSession, batch_id)
+            admitted = True
         rows = parse.settle(parse_rows(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             total, rejected = rows.agg(F.count("*"), F.count("reject_reason")).first()
-            parse.enforce_limit(rejected, settings.reject_limit)
             # Parsed by one task per topic partition, written to files of a useful size.
             good, bad = parse.split_rejects(rows.coalesce(total // ROWS_PER_FILE + 1))
-            tables = {f"{path}/{table}": df for table, df in targets(good).items()}
-            fan_out(tables, batch_id, settings.exactly_once)
+            # A batch over its limit leaves the rows that broke it, and nothing else.
             if rejected:
                 append_batch(bad, batch_id, f"{path}/rejects/{name}")
+            parse.enforce_limit(rejected, settings.reject_limit)
+            tables = {f"{path}/{table}": df for table, df in targets(good).items()}
+            fan_out(tables, batch_id, settings.exactly_once)
         finally:
             rows.unpersist()
 
@@ -122,6 +131,7 @@ def run_accounts(
     return run_job(
         messages, "accounts", lambda batch: parse.accounts_from_cdc(batch, as_of), targets,
         path, checkpoint, settings, available_now,
+        admit=lambda spark, batch_id: merge.refuse_folded(spark, f"{path}/accounts", batch_id),
     )
 
 

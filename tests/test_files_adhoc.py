@@ -69,6 +69,46 @@ def test_source_ids(spark, tmp_path):
     assert files.with_source_id(message).first()["id"] == "t:1:5"
 
 
+def test_source_ids_do_not_depend_on_splits(spark, tmp_path):
+    """Repeated, broken and empty-valued lines too, each with an id of its own."""
+    lines = [line(str(i % 40)) for i in range(200)] + ["short,line", "short,line", line(status=""), line(status='""')]
+    write_csv(tmp_path, "a.csv", lines)
+    write_csv(tmp_path, "b.csv", lines[:30])
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in settings]
+    seen = []
+    try:
+        for size in ("128m", "1k", "300b"):
+            for name in settings:
+                spark.conf.set(name, size)
+            rows = files.with_source_id(files.read_bulk_csv(spark, str(tmp_path)))
+            seen.append(sorted((r["id"], r["sensor_id"] or "") for r in rows.collect()))
+    finally:
+        for name, value in zip(settings, before):
+            spark.conf.set(name, value)
+    assert seen[0] == seen[1] == seen[2]
+    assert len({i for i, _ in seen[0]}) == len(seen[0]) == 234
+
+
+def test_a_repeated_load_replaces_itself_only(spark, tmp_path):
+    days = [tmp_path / "day1", tmp_path / "day2"]
+    for day, sensor in zip(days, ("s1", "s2")):
+        day.mkdir()
+        write_csv(day, "a.csv", [line(sensor), line(sensor), line(sensor, temperature="hot")])
+    path = work_dir(spark, "loads")
+    for day in (0, 1, 0):
+        rows = bulk_load(spark, str(days[day]), path, "stream", AS_OF, load=f"day{day}")
+    found = rows.select("id", "sensor_id").collect()
+    assert sorted(r["sensor_id"] for r in found) == ["s1", "s1", "s2", "s2"]
+    assert len({r["id"] for r in found}) == 4
+    assert spark.read.parquet(f"{path}/rejects").count() == 2
+    # A load over its limit leaves its rejects and the tables' other loads.
+    with pytest.raises(parse.RejectLimitExceeded):
+        bulk_load(spark, str(days[0]), path, "stream", AS_OF, reject_limit=0, load="strict")
+    assert spark.read.parquet(f"{path}/rejects").count() == 3
+    assert tables.read_table(spark, f"{path}/readings", schemas.READINGS).count() == 4
+
+
 def test_file_inventory(spark, tmp_path):
     for i in range(5):
         (tmp_path / f"f{i}.txt").write_text("x" * (i + 1))
@@ -261,11 +301,26 @@ def test_statement_guard():
             adhoc.check_statement(sql)
         assert adhoc.check_statement(sql, confirm=True) == sql
     assert adhoc.check_statement("SELECT created_at, dropped FROM updates")
+    for sql in ("(select 1) union all (select 2)", "with t as (select 1) select * from t", "SHOW TABLES"):
+        assert adhoc.check_statement(sql) == sql
+    for sql in ("REPLACE TABLE t AS SELECT 1", "LOAD DATA INPATH 'x' INTO TABLE t", "SET a=b",
+                "ADD JAR 'x'", "REFRESH TABLE t", "/* note */ SELECT 1"):
+        with pytest.raises(adhoc.NeedsConfirmation):
+            adhoc.check_statement(sql)
+        assert adhoc.check_statement(sql, confirm=True) == sql
 
 
 def test_guarded_sql(spark):
     result = adhoc.guarded_sql(spark, "SELECT id FROM range(600) WHERE id >= :low", args={"low": 50})
     assert (result.columns, result.row_count, result.truncated) == (["id"], 500, True)
+    assert result.frame.count() == 550
+    spark.sparkContext.setJobGroup("mine", "my jobs")
+    try:
+        adhoc.guarded_sql(spark, "SELECT 1")
+        assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "mine"
+    finally:
+        for name in adhoc.JOB_PROPERTIES:
+            spark.sparkContext.setLocalProperty(name, None)
     spark.range(2).createOrReplaceTempView("gone")
     adhoc.guarded_sql(spark, "DROP VIEW gone", confirm=True)
     assert not spark.catalog.tableExists("gone")

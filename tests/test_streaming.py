@@ -144,6 +144,8 @@ def test_reject_limit_fails_the_batch_and_writes_nothing(spark):
     with pytest.raises(StreamingQueryException, match="2 rejected rows"):
         query.awaitTermination()
     assert read_table(spark, f"{path}/t/orders", schemas.ORDERS).count() == 0
+    # The rows that broke the limit are kept.
+    assert jobs.read_rejects(spark, f"{path}/t", "orders").count() == 2
 
     # With a higher limit the same batch runs again and is written.
     settings = JobSettings(interval_ms=100, reject_limit=2)
@@ -233,6 +235,49 @@ def test_progress_listener_writes_a_table(spark):
         spark.streams.removeListener(listener)
 
 
+def test_progress_log_has_every_batch(spark, tmp_path):
+    """Spark itself keeps the last hundred reports of a query."""
+    for i in range(110):
+        (tmp_path / f"{i}.txt").write_text("row\n")
+    path = work_dir(spark, "progress-long")
+    log = progress.ProgressLog(spark, f"{path}/log", group=40)
+    spark.streams.addListener(log)
+    try:
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path))
+        query = drain(
+            stream.writeStream.format("noop").option("checkpointLocation", f"{path}/c")
+            .trigger(availableNow=True).start()
+        )
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.read().filter(F.col("run_id") == str(query.runId))
+    assert rows.agg(F.sum("rows_read"), F.count_distinct("batch_id")).first() == (110, 110)
+    assert len(query.recentProgress) <= 100
+    assert len(spark.read.parquet(f"{path}/log").inputFiles()) <= 10
+
+
+def test_a_new_checkpoint_is_refused_once_batches_are_folded(spark):
+    path = work_dir(spark, "restart")
+    topic = f"{path}/topic"
+    for i in range(3):
+        publish(spark, topic, [account(i, 1000)], start=i)
+
+    def run(checkpoint):
+        stream = topics.replay_topic(spark, topic, files_per_batch=1)
+        return jobs.run_accounts(stream, f"{path}/t", f"{path}/{checkpoint}", available_now=True, as_of=AS_OF)
+
+    drain(run("c1"))
+    assert merge.compact(spark, f"{path}/t/accounts", jobs.CHANGE_LOG) == 1
+    publish(spark, topic, [account(7, 2000)], start=3)
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        run("c2").awaitTermination()
+    # The job's own checkpoint goes on.
+    drain(run("c1"))
+    merged = merge.read_merged(spark, f"{path}/t/accounts", jobs.CHANGE_LOG)
+    assert {r["account_id"] for r in merged.collect()} == {0, 1, 2, 7}
+
+
 def test_kafka_options(spark, monkeypatch):
     monkeypatch.delenv("FLOWLAKE_KAFKA_BROKERS", raising=False)
     with pytest.raises(ValueError, match="bootstrap"):
