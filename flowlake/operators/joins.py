@@ -6,42 +6,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot from this share of all rows; so there are never more than 1 / HOT_SHARE of them.
-HOT_SHARE = 1 / 200
-SALTS = 64
+# A key is hot when it holds more rows than one task should: TASK_ROWS, but of few rows at most
+# COARSE and of very many at least FINE of all, so there are never more than 1 / FINE hot keys.
+TASK_ROWS = 1_000_000
+COARSE, FINE = 1 / 200, 1 / 10_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: by construction fewer than 1 / share."""
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more rows than a task should hold, and the ``_parts`` to cut each into.
+
+    By construction there are fewer than 1 / FINE keys, and fewer than 2 / FINE parts in all.
+    """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    heavy = counts.join(F.broadcast(total), F.col("_n") > F.col("_total") * share)
-    return heavy.select(key, F.lit(True).alias("_hot"))
+    total = F.sum("_n")
+    piece = F.least(total * COARSE, F.greatest(total * FINE, F.lit(float(task_rows))))
+    pieces = counts.agg(piece.alias("_piece"))
+    heavy = counts.join(F.broadcast(pieces), F.col("_n") > F.col("_piece"))
+    return heavy.select(key, F.ceil(F.col("_n") / F.col("_piece")).alias("_parts"))
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str], how: str = "left"
+    facts: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str], how: str = "left",
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Equi-join to a table with at most one row per ``key``.
 
-    Rows of a hot key are spread over ``SALTS`` tasks by a hash of the ``spread`` columns, and
-    only the lookup rows of hot keys are repeated to meet them: at most SALTS / HOT_SHARE extra
-    rows, whatever the tables' sizes. Adaptive execution cannot split such a key by itself when
+    Rows of a hot key are spread over its parts by a hash of the ``spread`` columns, and only
+    the lookup rows of hot keys are repeated to meet them: fewer than 2 / FINE extra rows,
+    whatever the tables' sizes. Adaptive execution cannot split such a key by itself when
     the lookup side is an aggregate on the same key.
     """
-    hot = F.broadcast(hot_keys(facts, key))
-    one = F.array(F.lit(0).cast("bigint"))
-    many = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    spot = F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint"))
+    hot = F.broadcast(hot_keys(facts, key, task_rows))
+    none = F.lit(0).cast("bigint")
+    place = F.xxhash64(*spread)
     # A NULL key meets nothing, so its rows may lie anywhere.
-    spread_out = F.col("_hot") | F.col(key).isNull()
-    salted = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(spread_out, spot).otherwise(F.lit(0).cast("bigint"))
-    )
-    repeated = lookup.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), many).otherwise(one))
-    )
-    joined = salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how)
+    salt = F.when(F.col(key).isNull(), place).when(F.col("_parts").isNotNull(), F.pmod(place, "_parts"))
+    salted = facts.join(hot, key, "left").withColumn("_salt", salt.otherwise(none))
+    last = F.coalesce("_parts", F.lit(1).cast("bigint")) - 1
+    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(none, last)))
+    joined = salted.drop("_parts").join(repeated.drop("_parts"), [key, "_salt"], how)
     return joined.drop("_salt")
 
 

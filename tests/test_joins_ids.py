@@ -50,6 +50,19 @@ def test_lookup_join_spreads_the_hot_key(spark, facts, lookup):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_many_warm_keys_leave_no_large_task(spark, lookup):
+    """Keys of 0.3 % each are cut by rows for a task, not by their share of all rows."""
+    rows = spark.range(ROWS).select(F.col("id").alias("row"), (F.col("id") % 333).alias("k"))
+    assert joins.hot_keys(rows, "k").count() == 0
+    hot = joins.hot_keys(rows, "k", task_rows=5).collect()
+    assert len(hot) == 333 and {r["_parts"] for r in hot} == {4}
+    got = joins.lookup_join(rows, lookup, "k", ["row"], task_rows=5)
+    expected = rows.join(lookup, "k", "left").select(*got.columns)
+    assert sorted(got.collect()) == sorted(expected.collect())
+    # Whatever the size of a task, no more keys than the finest share allows.
+    assert joins.hot_keys(rows.withColumn("k", F.col("row") % 3000), "k", task_rows=0).count() == 3000
+
+
 def test_without_match(facts, lookup):
     got = {r["k"] for r in joins.without_match(facts, lookup, "k").collect()}
     keys = {r["k"] for r in facts.collect()}
