@@ -11,7 +11,7 @@ from flowlake.operators import kpi, parse, reconcile, topk
 from flowlake.plans.bulk_load import bulk_load, reject_counts
 from flowlake.session import work_dir
 from flowlake.sinks.tables import write_table
-from flowlake.sources.files import with_source_id
+from flowlake.sources.files import read_bulk_csv, with_source_id
 
 IOT = fx.ctes("fx_iot")
 WINDOW = "3 days"
@@ -117,6 +117,30 @@ def bulk_load_bulk_rules(spark, sf_dir):
     return bulk_loaded(spark, sf_dir, "bulk")
 
 
+@check(derived_sql(STREAM_SQL))
+def bulk_load_repeated(spark, sf_dir):
+    """A named load that runs twice replaces itself."""
+    path = work_dir(spark, "bulk-repeated")
+    for _ in range(2):
+        rows = bulk_load(spark, bulk_file(spark, sf_dir), path, "stream", fx.AS_OF, load="day")
+    return rows.select(*parse.READING_COLUMNS, *DERIVED)
+
+
+@check(f"""{IOT} SELECT COUNT(*) AS "rows", COUNT(*) AS ids, COUNT(*) AS same FROM fx_iot""")
+def source_ids_files(spark, sf_dir):
+    """Ids of bulk lines: all different, and the same under another way to split the files."""
+    csv, path = bulk_file(spark, sf_dir), work_dir(spark, "file-ids")
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    other.conf.set("spark.sql.files.openCostInBytes", "1k")
+    with_source_id(read_bulk_csv(other, csv)).select("id").write.parquet(path)
+    first = with_source_id(read_bulk_csv(spark, csv)).groupBy("id").agg(F.count("*").alias("n"))
+    second = spark.read.schema("id STRING").parquet(path).withColumn("again", F.lit(1))
+    return first.join(second, "id", "left").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("ids"), F.count("again").alias("same")
+    )
+
+
 @check(f"""{IOT} SELECT 'iot-sensors-csv:' || CAST(seq % 4 AS VARCHAR) || ':' ||
 CAST(seq // 4 + 1 AS VARCHAR) AS id, sensor_id FROM fx_iot""")
 def source_ids(spark, sf_dir):
