@@ -7,7 +7,9 @@ with a smaller id, is left out by anti-joins; the maximal conversations are rend
 A prefix's hash is two sums over its turns of hashes of turn number, role and text, so prefixes come
 from running sums. These are taken in two steps, over runs of ``RUN`` turn numbers and within them,
 so that a conversation with a third of all rows is spread over many tasks; and a conversation is
-rendered in parts of ``RUN`` turn numbers.
+rendered in parts of ``RUN`` turn numbers. Where that would put more than ``RUN`` rows into a part, as
+repeated or NULL turn numbers can, the conversation is cut into parts of ``RUN`` rows instead: its
+rows, equal ones counted as one, are sorted in ranges, and running counts number them.
 
 Turns are ordered by number, those of one number by role and text; a NULL number counts as -1. A
 prefix ends after a whole number. NULL roles and texts are kept apart from empty ones in hashes and
@@ -20,9 +22,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowlake.llm.common import written
+from flowlake.llm.common import parts_of, written
 
 RUN = 256
+# Conversations with more than this share of all rows are kept out of joins by key; there are fewer
+# than its inverse.
+FINE = 1 / 10_000
+RANGE_ROWS = 1_000_000
 # The marks of the rendered form.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
@@ -81,22 +87,67 @@ def maximal(conversations: DataFrame) -> DataFrame:
     return kept.select(F.coalesce("named", "conv").alias("conv"), F.col("rows").alias("n_rows"), "equal")
 
 
-def render(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, n_turns, n_equal, rendered of the maximal conversations, in parts of ``RUN``
-    turn numbers; most conversations are part 0 alone."""
-    kept = written(maximal(conversations), "chat-kept")
-    turns = _turns(conversations).withColumn("conv", F.struct("conv_id"))
+def _rendered(rows: DataFrame) -> DataFrame:
+    """The rows (conv, part, n_rows, equal, turn, role, text, copies) of each part as one text."""
     parts = (
-        turns.join(kept, "conv").groupBy("conv", "part", "n_rows", "equal")
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+        rows.groupBy("conv", "part", "n_rows", "equal")
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "copies"))).alias("turns"))
     )
     text = F.array_join(
-        F.transform("turns", lambda t: F.concat(
+        F.transform("turns", lambda t: F.repeat(F.concat(
             F.lit(BEGIN), F.coalesce(t["role"], F.lit("unknown")), F.lit("\n"),
             F.coalesce(t["text"], F.lit("")), F.lit(END + "\n"),
-        )), "",
+        ), t["copies"])), "",
     )
     return parts.select(
         F.col("conv.conv_id").alias("conv_id"), "part", F.col("n_rows").alias("n_turns"),
         F.col("equal").alias("n_equal"), text.alias("rendered"),
     )
+
+
+def _cut_by_rows(rows: DataFrame, n_rows: int) -> DataFrame:
+    """The rows with their running number in the conversation, divided by ``RUN``, as their part."""
+    order = ["turn", "role", "text"]
+    counted = rows.groupBy("conv", "n_rows", "equal", *order).agg(F.count("*").alias("n"))
+    ranges = max(parts_of(rows.sparkSession), n_rows // RANGE_ROWS)
+    # Written, so that the numbers of the ranges stay as they are.
+    ranged = written(
+        counted.repartitionByRange(ranges, "conv", *order).withColumn("range", F.spark_partition_id()), "chat-ranges"
+    )
+    before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("conv", "range").agg(F.sum("n").alias("in_range")).select(
+        "conv", "range", F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("start")
+    )
+    so_far = Window.partitionBy("conv", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("start") + F.coalesce(F.sum("n").over(so_far), F.lit(0))
+    placed = ranged.join(starts, ["conv", "range"]).withColumn("begin", begin).withColumn("end", begin + F.col("n"))
+    # Equal rows may reach over several parts.
+    first, last = F.floor(F.col("begin") / RUN), F.floor((F.col("end") - 1) / RUN)
+    part = placed.withColumn("part", F.explode(F.sequence(first, last)))
+    inside = F.least("end", (F.col("part") + 1) * RUN) - F.greatest("begin", F.col("part") * RUN)
+    return part.select("conv", "part", "n_rows", "equal", *order, inside.cast("int").alias("copies"))
+
+
+def render(conversations: DataFrame) -> DataFrame:
+    """conv_id, part, n_turns, n_equal, rendered of the maximal conversations, in parts of ``RUN``
+    turn numbers; most conversations are part 0 alone. A conversation with more than ``RUN`` rows in
+    such a part has parts of ``RUN`` rows, numbered from 0."""
+    kept = written(maximal(conversations), "chat-kept")
+    turns = _turns(conversations).withColumn("conv", F.struct("conv_id")).drop("conv_id")
+    every = Window.partitionBy("conv")
+    sizes = turns.groupBy("conv", "part").agg(F.count("*").alias("size")).select(
+        "conv", "part", "size", F.max("size").over(every).alias("most"), F.sum("size").over(every).alias("all")
+    )
+    parts = written(sizes.join(kept, "conv", "left"), "chat-parts")
+    n_rows, crowded = parts.agg(F.sum("size"), F.sum(F.when(F.col("most") > RUN, F.col("size")))).first()
+    names = ["conv", "part", "n_rows", "equal", "turn", "role", "text"]
+    stay = parts.filter("n_rows IS NOT NULL")
+    if not crowded:
+        return _rendered(turns.join(stay, ["conv", "part"]).select(*names, F.lit(1).alias("copies")))
+    hot = parts.filter((F.col("most") > RUN) & (F.col("all") > n_rows * FINE)).select("conv", "n_rows", "equal").distinct()
+    rest = turns.join(F.broadcast(hot.select("conv")), "conv", "left_anti").join(stay, ["conv", "part"])
+    crowds = turns.join(F.broadcast(hot.filter("n_rows IS NOT NULL")), "conv").select(*names).unionByName(
+        rest.filter(F.col("most") > RUN).select(*names)
+    )
+    few = rest.filter(F.col("most") <= RUN).select(*names, F.lit(1).alias("copies"))
+    return _rendered(few).unionByName(_rendered(_cut_by_rows(crowds, crowded)))

@@ -75,6 +75,26 @@ def test_long_conversations_are_cut_into_parts(spark):
     assert got == brute(rows) and {r[0] for r in got} == {3} and len(got) == 3
 
 
+@pytest.mark.parametrize("fine", [chat.FINE, 1])
+def test_crowded_turn_numbers_are_cut_by_rows(spark, monkeypatch, fine):
+    monkeypatch.setattr(chat, "FINE", fine)
+    crowd = [(i % 3 or None, "user" if i % 2 else None, str(i) if i % 5 else "same") for i in range(3000)]
+    rows = [(None, *t) for t in crowd + [(9000, "user", "late")]] + [(6, 0, "a", "b")] * chat.RUN
+    rows += [(i, *t) for i in (4, 5) for t in crowd + [(9000, "user", "end")]] + [(7, *t) for t in crowd]
+    random.Random(1).shuffle(rows)
+    got = chat.render(table(spark, rows)).collect()
+    expected = {}
+    for conv, _, n, equal, text in sorted(brute(rows), key=lambda r: r[1]):
+        expected[conv] = (n, equal, expected.get(conv, (n, equal, ""))[2] + text)
+    whole = {}
+    for r in sorted(got, key=lambda r: r.part):
+        whole[r.conv_id] = (r.n_turns, r.n_equal, whole.get(r.conv_id, (0, 0, ""))[2] + r.rendered)
+    assert whole == expected and set(whole) == {4, None, 6}
+    assert max(r.rendered.count(chat.BEGIN) for r in got) == chat.RUN
+    assert sorted(r.part for r in got if r.conv_id == 4) == list(range(12))
+    assert [r.part for r in got if r.conv_id == 6] == [0]
+
+
 def test_empty_table(spark):
     assert chat.render(table(spark, [])).collect() == []
 
