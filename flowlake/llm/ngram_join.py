@@ -33,9 +33,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from flowlake.llm.common import mix64, parts_of, power_of_two, sequence_hashes, word_hashes, written
+from flowlake.llm.common import SPACE_WORD, mix64, parts_of, power_of_two, sequence_hashes, word_hashes, written
 from flowlake.llm.components import components
 
 WORDS = 5
@@ -46,7 +46,7 @@ OWNER_POSTINGS = 500_000
 MOST_MATCHES = 8
 VERIFY_COST = 4.0
 
-_PACKED = "owner long, chunk long, low binary, high binary, doc binary, df binary, ids array<long>, k1 array<long>, k2 array<long>, n array<long>, first array<long>"
+_PACKED = "owner long, chunk long, low binary, high binary, doc binary, df binary, ids array<long>, t array<long>, k1 array<long>, k2 array<long>, n array<long>, first array<long>"
 _FIELDS = [f.split()[0] for f in _PACKED.split(", ")]
 
 
@@ -76,16 +76,16 @@ def _sender(owner_bits: int):
         """A header with the chunk's documents, and its postings by owner."""
         seen: dict[tuple[int, int, int], int] = {}
         parts, docs = [], []
-        ids, k1, k2, ns, first = [], [], [], [], []
-        for at, (doc_id, words) in enumerate(held):
+        ids, ts, k1, k2, ns, first = [], [], [], [], [], []
+        for at, (doc_id, t, words) in enumerate(held):
             shingles = np.unique(sequence_hashes(words, WORDS))
             key = (*_key(words), len(words))
-            ids.append(doc_id), k1.append(key[0]), k2.append(key[1]), ns.append(len(shingles))
+            ids.append(doc_id), ts.append(t), k1.append(key[0]), k2.append(key[1]), ns.append(len(shingles))
             first.append(seen.setdefault(key, at))
             if first[-1] == at and len(shingles):
                 parts.append(np.unique(shingles >> np.uint64(64 - owner_bits - low_bits)))
                 docs.append(np.full(len(parts[-1]), at, np.uint16))
-        yield dict(owner=chunk % (1 << owner_bits), chunk=chunk, ids=ids, k1=k1, k2=k2, n=ns, first=first)
+        yield dict(owner=chunk % (1 << owner_bits), chunk=chunk, ids=ids, t=ts, k1=k1, k2=k2, n=ns, first=first)
         if not parts:
             return
         tokens, docs = np.concatenate(parts), np.concatenate(docs)
@@ -109,9 +109,9 @@ def _sender(owner_bits: int):
                 yield pa.RecordBatch.from_pylist(rows[at : at + 64], schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, t in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 hashed = word_hashes(text.as_py() or "")
-                held.append((doc_id, hashed))
+                held.append((doc_id, t, hashed))
                 words += len(hashed)
                 if words >= CHUNK_WORDS or len(held) >= CHUNK_DOCS:
                     yield from flush()
@@ -168,7 +168,7 @@ def matches_needed(df: np.ndarray, n: int) -> int:
     return int(np.argmin(postings + VERIFY_COST * n * postings / tries)) + 1
 
 
-_SETS = "doc_id long, k1 long, k2 long, n long, matches long, prefix array<long>, tokens binary, crowd long"
+_SETS = "doc_id long, t long, k1 long, k2 long, n long, matches long, prefix array<long>, tokens binary, crowd long"
 
 
 def _assembler(owner_bits: int):
@@ -195,15 +195,20 @@ def _assembler(owner_bits: int):
                     prefix[at] = token[a : a + (b - a) - least_overlap(n[at]) + l].view(np.int64)
                     matches[at], crowd[at] = l, int(df[a:b].sum())
         schema = _arrow(_SETS)
-        columns = [head["ids"], head["k1"], head["k2"], head["n"], matches, prefix, tokens, crowd]
+        columns = [head["ids"], head["t"], head["k1"], head["k2"], head["n"], matches, prefix, tokens, crowd]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return assemble
 
 
+def _hash(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def shared_sets(docs: DataFrame) -> DataFrame:
-    """Written: every document with its set's size, and the shared shingles of those that may link."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    """Written: every document with a hash ``t`` of its text, its set's size, and the shared shingles
+    of those that may link."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), _hash(docs).alias("t"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     # Words take about eight bytes; the estimate only sets how many owners share the work.
     owner_bits = max(1, power_of_two(max(parts_of(docs.sparkSession), size / 8 / OWNER_POSTINGS)))
@@ -344,8 +349,9 @@ def link_classes(classes: DataFrame, expand: Expand) -> DataFrame:
     return links.unionByName(more)
 
 
-def similarity_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sets, classes): every document, and for each class (k1, k2, n) of equal sets its component and
+    the first (absent, doc_id, t) of its documents."""
     sets = shared_sets(docs)
     classes = written(
         sets.filter("tokens IS NOT NULL").groupBy("k1", "k2", "n")
@@ -355,11 +361,17 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     )
     linked = _rooted(classes.select("cid", "k1", "k2", "n"), link_classes(classes, hashes_of))
     # A class is named by its key; classes with no partner are their own component.
-    smallest = sets.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("least"))
+    document = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "t")
+    smallest = sets.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min(document).alias("least"))
     rows = smallest.join(linked.select("k1", "k2", "n", "root"), ["k1", "k2", "n"], "left")
     own = F.struct(F.coalesce("root", F.lit(-1)).alias("root"), F.when(F.col("root").isNull(), F.col("k1")).alias("k1"), F.when(F.col("root").isNull(), F.col("k2")).alias("k2"))
-    named = rows.withColumn("component", own)
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return sets, rows.withColumn("component", own)
+
+
+def similarity_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    sets, named = _named(docs)
+    lowest = named.groupBy("component").agg(F.min("least")["doc_id"].alias("component_id"))
     names = named.join(lowest, "component").select("k1", "k2", "n", "component_id")
     return sets.select("doc_id", "k1", "k2", "n").join(names, ["k1", "k2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -368,10 +380,19 @@ def similarity_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, with all their columns.
+    """One row of ``docs`` of each component, that with the smallest doc_id, with all its columns.
 
-    Rows of one doc_id are one document. Rows without a doc_id stay.
+    A NULL doc_id comes last. Of rows with one doc_id the smallest hash of the text decides, of
+    those with the same text too the other columns. Rows without words link with nothing and stay.
     """
-    found = similarity_components(docs)
-    stay = found.filter("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
+    _, named = _named(docs)
+    stay = named.groupBy("component").agg(F.min("least").alias("least"))
+    # A struct is never NULL, so rows without a doc_id meet theirs.
+    stay = stay.select(F.struct("least.doc_id").alias("_doc"), F.col("least.t").alias("_t"))
+    has_words = F.coalesce(docs["text"].rlike(SPACE_WORD), F.lit(False))
+    rows = docs.filter(has_words).select(
+        F.struct(docs["doc_id"].cast("long").alias("doc_id")).alias("_doc"), _hash(docs).alias("_t"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    )
+    kept = rows.join(stay, ["_doc", "_t"]).groupBy("_doc", "_t").agg(F.min("_row").alias("_row"))
+    return kept.select("_row.*").unionByName(docs.filter(~has_words))

@@ -132,6 +132,19 @@ def test_one_of_each(documents):
     assert sorted(d for d in got if d is not None) == want and got.count(None) == 2
 
 
+def test_one_row_of_each_component(documents):
+    a, b, c, d = ("".join(f"{x}{i} " for i in range(40)) for x in "abcd")
+    rows = [
+        (1, a), (3, a + "end"), (None, a + "tail"), (3, b), (2, b + "end"), (3, c),
+        (None, d), (None, d + "end"), (None, d), (None, " \n"), (None, None), (7, ""),
+    ]
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(documents(rows)).collect()), key=str)
+    of_d = [t for _, t in kept if t and t.startswith("d")]
+    assert len(of_d) == 1 and of_d[0] in (d, d + "end")
+    want = [(1, a), (2, b + "end"), (3, c), (None, of_d[0]), (None, " \n"), (None, None), (7, "")]
+    assert kept == sorted(want, key=str)
+
+
 def test_more_matches_cost_less_in_crowded_prefixes():
     crowded = np.full(90, 200)
     assert ngram_join.matches_needed(crowded, 100) > 1
