@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.llm import (
-    ann, chat, exact_dedup, licenses, lines, mixing, ngram_join, packing, quality, url_filter,
+    ann, bestfit, chat, exact_dedup, licenses, lines, mixing, ngram_join, packing, quality, url_filter,
 )
 from flowlake.llm.common import reach_workers
 
@@ -146,3 +146,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, judged by rules and by the links between hosts."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op11_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, packed whole into sequences of 1024 ids."""
+    return bestfit.digest(bestfit.pack(table(spark, sf_dir, "documents")))
