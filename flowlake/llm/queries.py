@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.llm import (
-    ann, bestfit, chat, exact_dedup, licenses, lines, mixing, ngram_join, packing, quality, url_filter,
+    ann, bestfit, chat, collocations, exact_dedup, licenses, lines, mixing, ngram_join, packing, quality, url_filter,
 )
 from flowlake.llm.common import reach_workers
 
@@ -152,3 +152,37 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, packed whole into sequences of 1024 ids."""
     return bestfit.digest(bestfit.pack(table(spark, sf_dir, "documents")))
+
+
+@query(f"""
+    WITH d AS (SELECT row_number() OVER () AS d, COALESCE(lang, 'und') AS lang, {LOWER.format("COALESCE(text, '')")} AS text FROM documents),
+    p AS (SELECT d, lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM p),
+    g AS (
+        SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, {collocations.LONGEST + 1}) t(k))
+    ),
+    f AS MATERIALIZED (SELECT lang, k, phrase, COUNT(*) AS f FROM g GROUP BY ALL HAVING COUNT(*) >= {collocations.LEAST}),
+    n AS (SELECT lang, CAST(SUM(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+    c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+    s AS (
+        SELECT lang, f, array_to_string(words[i : j], ' ') AS phrase
+        FROM (SELECT lang, f, k, words, i, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM c))
+        WHERE j - i + 1 < k
+    ),
+    o AS (SELECT lang, phrase, MAX(f) AS f FROM s GROUP BY ALL),
+    x AS (
+        SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n.n, t.k,
+               CAST((1000 * CAST(c.f AS HUGEINT) * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+        FROM c JOIN n USING (lang) JOIN range(1, {collocations.LONGEST}) t(k) ON t.k < c.k
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1 : t.k], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[t.k + 1 :], ' ')
+        WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.lang = c.lang AND o.phrase = c.phrase AND 100 * o.f >= 100 * c.f)
+    ),
+    b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM b QUALIFY rank <= {collocations.PER_LANG}
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language of all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
