@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.llm import (
     ann, bestfit, chat, collocations, exact_dedup, licenses, lines, mixing, ngram_join, packing, quality, url_filter,
+    whitening,
 )
 from flowlake.llm.common import reach_workers
 
@@ -186,3 +187,9 @@ def op11_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of each language of all documents."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, whitened to their eight strongest components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

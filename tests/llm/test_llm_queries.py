@@ -19,7 +19,7 @@ def test_query_equals_duckdb(spark, name):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in [*range(1, 13)]}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mix", "pack"]
 
