@@ -3,16 +3,17 @@
 The occurrences of the words of a corpus are a relation (place, word), sorted by place, where the
 words of a piece have places in a row and a place is left out between two pieces. Level by level:
 
-1. the relation of the phrases of k words is joined with itself by merging on adjacent places of
-   one piece, which gives the occurrences of phrases of k + 1 words;
+1. the relation of the frequent phrases of k words is joined with itself by merging on adjacent places
+   of one piece, which gives the occurrences of phrases of k + 1 words;
 2. they are grouped and counted, in each block first and then over all blocks;
-3. occurrences of phrases that are too rare are taken out by a semi-join, before the next level.
+3. a semi-join with the frequent groups leaves the next relation, which is written before the next
+   level extends it.
 
-A relation is kept as sorted arrays of one block of about ``BLOCK_WORDS`` words to a row, and
-written at every level. A phrase is a pair of the ids of its first and its last k words, so equal
-ids mean equal phrases. Only the counts of a block's distinct phrases travel by phrase; its
-occurrences meet the phrases that are frequent by block. So a word or phrase with a third of all
-occurrences is one row of each block. Nothing is broadcast or gathered but by Spark's own size checks.
+A relation is kept as sorted, compressed arrays, one block of about ``BLOCK_WORDS`` words to a row. A
+phrase is a pair of the ids of its first and its last k words, so equal ids mean equal phrases. A
+block's counts go to owners by a hash of the phrase, one packed list for each owner, and owners answer
+with the frequent ones; a block's occurrences meet those by block. So a word or phrase with a third
+of all occurrences is one entry of each block, and nothing is broadcast or gathered.
 
 Words: A-Z is lower-cased, texts are cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and these at blanks and
 tabs. All counts are per ``lang`` (NULL: ``und``). NULL and empty texts have no words; repeated rows
@@ -29,16 +30,23 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowlake.llm.common import UPPER, written
+from flowlake.llm.common import UPPER, mix64, power_of_two, written
 from flowlake.operators.joins import lookup_join
+from flowlake.session import work_dir
+from flowlake.sinks import folders
 
 LEAST = 100
 LONGEST = 5
 PER_LANG = 2000
 BLOCK_WORDS = 2_000_000
+# Words and pairs of blocks that one owner counts, on average.
+OWNER_WORDS = 500_000
+OWNER_PAIRS = 2_000_000
 
 # A byte that no text in UTF-8 holds stands for the end of a piece.
 _END = b"\xff"
@@ -46,25 +54,46 @@ _RULES = bytes(range(256)).translate(
     bytes.maketrans(UPPER.encode() + b"\t.,;:!?\n\x0b\x0c\r", UPPER.lower().encode() + b" " + _END * 10)
 )
 
-# Rows with ``gaps`` are a block's relation, the others count one of its phrases (number ``i``).
-_WORDS = "block long, gaps binary, phrases binary, i int, lang string, word binary, c long"
-_PAIRS = "block long, gaps binary, phrases binary, i int, head long, tail long, c long"
-_FIELDS = {
-    "block": pa.int64(), "gaps": pa.binary(), "phrases": pa.binary(), "i": pa.int32(), "lang": pa.string(),
-    "word": pa.binary(), "head": pa.int64(), "tail": pa.int64(), "c": pa.int64(),
-}
+# A block's relation (``gaps`` is set), one of its words (number ``i``), or its words of a language.
+_WORDS = "block long, n long, gaps binary, phrases binary, i int, lang string, word binary, c long"
+_RELATION = "block long, n long, gaps binary, phrases binary, ids binary"
+_SENT = "owner long, block long, heads binary, tails binary, counts binary"
+# What owners find: a frequent phrase (``f`` is set), or an answer to a block.
+_WORD_ANSWER = "id long, f long, lang string, word binary, block long, i int"
+_PAIR_ANSWER = "id long, f long, head long, tail long, block long, heads binary, tails binary, ids binary"
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
 
 
-def _rows(schema: str, size: int, block: int, **columns) -> pa.RecordBatch:
-    """``size`` rows of one block; columns that are not given are NULL."""
-    names = [field.split()[0] for field in schema.split(", ")]
-    columns["block"] = np.full(size, block)
-    arrays = [pa.array(columns[n], _FIELDS[n]) if n in columns else pa.nulls(size, _FIELDS[n]) for n in names]
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+def _schema(fields: str) -> pa.Schema:
+    return pa.schema([(name, _TYPES[kind]) for name, kind in (f.split() for f in fields.split(", "))])
 
 
-def _gaps(places: np.ndarray) -> bytes:
-    return np.diff(places, prepend=0).astype("<i4").tobytes()
+def _rows(fields: str, size: int, **columns) -> pa.RecordBatch:
+    """``size`` rows; columns that are not given are NULL, single numbers are repeated."""
+    schema = _schema(fields)
+    arrays = []
+    for field in schema:
+        value = columns.get(field.name)
+        if isinstance(value, int):
+            value = np.full(size, value)
+        arrays.append(pa.nulls(size, field.type) if value is None else pa.array(value, field.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _packed(values: np.ndarray, kind: str = "<i8") -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
+
+
+def _unpacked(data: bytes, kind: str = "<i8") -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _packed_sorted(values: np.ndarray, kind: str = "<i8") -> bytes:
+    return _packed(np.diff(values, prepend=0), kind)
+
+
+def _unpacked_sorted(data: bytes, kind: str = "<i8") -> np.ndarray:
+    return np.cumsum(_unpacked(data, kind), dtype=np.int64)
 
 
 class Block:
@@ -88,13 +117,16 @@ class Block:
         if not len(places):
             return
         phrases = numbers[places]
-        yield _rows(_WORDS, 1, block, gaps=[_gaps(places)], phrases=[phrases.astype("<i4").tobytes()])
+        yield _rows(
+            _WORDS, 1, block=block, n=len(places), gaps=[_packed_sorted(places, "<i4")], phrases=[_packed(phrases, "<i4")]
+        )
         counts = np.bincount(phrases)
         for lang, words in self.numbers.items():
             del words[_END]
             if words:
                 i = np.fromiter(words.values(), np.int32, len(words))
-                yield _rows(_WORDS, len(i), block, i=i, lang=[lang] * len(i), word=list(words), c=counts[i])
+                yield _rows(_WORDS, len(i), block=block, i=i, lang=[lang] * len(i), word=list(words), c=counts[i])
+                yield _rows(_WORDS, 1, block=block, lang=[lang], c=int(counts[i].sum()))
 
 
 def word_relation(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -120,53 +152,154 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return texts.mapInArrow(read, _WORDS)
 
 
-def merge_adjacent(places: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A sorted relation joined with itself on adjacent places: (places, number of the pair at each
-    place, distinct pairs (first << 32 | second) ascending, their counts)."""
+def _frequent_words(least: int):
+    def find(sent: pa.Table) -> pa.Table:
+        """An owner's frequent words, and where each block has them."""
+        total = sent.group_by(["lang", "word"]).aggregate([("c", "sum")])
+        total = total.filter(pc.greater_equal(total["c_sum"], least)).sort_by([("lang", "ascending"), ("word", "ascending")])
+        if not total.num_rows:
+            return _schema(_WORD_ANSWER).empty_table()
+        ids = (sent["owner"][0].as_py() << 32) + np.arange(total.num_rows)
+        total = total.append_column("id", pa.array(ids))
+        found = sent.select(["lang", "word", "block", "i"]).join(total.select(["lang", "word", "id"]), ["lang", "word"], join_type="inner")
+        frequent = {"id": ids, "f": total["c_sum"], "lang": total["lang"], "word": total["word"]}
+        answers = {"id": found["id"], "block": found["block"], "i": found["i"]}
+        schema = _schema(_WORD_ANSWER)
+        return pa.concat_tables([
+            pa.table([t[f.name] if f.name in t else pa.nulls(n, f.type) for f in schema], schema=schema)
+            for t, n in ((frequent, total.num_rows), (answers, found.num_rows))
+        ])
+
+    return find
+
+
+def _keep_words(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+    """A block's relation of its frequent words."""
+    if not relation.num_rows or not frequent.num_rows:
+        return _schema(_RELATION).empty_table()
+    phrases = _unpacked(relation["phrases"][0].as_py(), "<i4")
+    i, ids = frequent["i"].to_numpy(), np.sort(frequent["id"].to_numpy())
+    new = np.full(int(max(phrases.max(), i.max())) + 1, -1, np.int64)
+    new[i] = np.searchsorted(ids, frequent["id"].to_numpy())
+    phrases = new[phrases]
+    kept = phrases >= 0
+    places = _unpacked_sorted(relation["gaps"][0].as_py(), "<i4")[kept]
+    return _relation(relation["block"][0].as_py(), places, phrases[kept], ids)
+
+
+def _relation(block: int, places: np.ndarray, phrases: np.ndarray, ids: np.ndarray) -> pa.Table:
+    """One row: places and the phrases there, as numbers into the ascending ``ids``."""
+    return pa.Table.from_batches([_rows(
+        _RELATION, 1, block=block, n=len(places), gaps=[_packed_sorted(places, "<i4")],
+        phrases=[_packed(phrases, "<i4")], ids=[_packed_sorted(ids)],
+    )])
+
+
+def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, numbers, ids) of a relation's row."""
+    return _unpacked_sorted(row["gaps"], "<i4"), _unpacked(row["phrases"], "<i4"), _unpacked_sorted(row["ids"])
+
+
+def merge_adjacent(places: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A sorted relation joined with itself on adjacent places: (places, pairs (first << 32 | second))."""
     adjacent = np.flatnonzero(places[1:] == places[:-1] + 1)
-    pairs = phrases[adjacent].astype(np.int64) << 32 | phrases[adjacent + 1]
-    distinct, numbers, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-    return places[adjacent], numbers, distinct, counts
+    return places[adjacent], phrases[adjacent].astype(np.int64) << 32 | phrases[adjacent + 1]
 
 
-def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The next level's rows of one block: its relation without rare phrases, merged with itself."""
-    schema = pa.schema([(f.split()[0], _FIELDS[f.split()[0]]) for f in _PAIRS.split(", ")])
+def _count_pairs(owner_bits: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places, phrases, ids = _open(row)
+                distinct, counts = np.unique(merge_adjacent(places, phrases)[1], return_counts=True)
+                heads, tails = ids[distinct >> 32], ids[distinct & 0xFFFFFFFF]
+                with np.errstate(over="ignore"):
+                    mixed = mix64(mix64(heads.view(np.uint64)) + tails.view(np.uint64))
+                owner = (mixed & np.uint64((1 << owner_bits) - 1)).astype(np.int64)
+                order = np.argsort(owner, kind="stable")
+                owners, begin = np.unique(owner[order], return_index=True)
+                parts = np.split(order, begin[1:]) if len(owners) else []
+                yield _rows(
+                    _SENT, len(owners), owner=owners, block=row["block"],
+                    heads=[_packed_sorted(heads[p]) for p in parts], tails=[_packed(tails[p]) for p in parts],
+                    counts=[_packed(counts[p], "<i4") for p in parts],
+                )
+
+    return send
+
+
+def _frequent_pairs(least: int):
+    def find(sent: pa.Table) -> pa.Table:
+        """An owner's frequent pairs, and those of each block."""
+        sent = sent.sort_by("block")
+        blocks = sent["block"].to_numpy()
+        heads = [_unpacked_sorted(h) for h in sent["heads"].to_pylist()]
+        part = np.repeat(np.arange(len(blocks)), [len(h) for h in heads])
+        heads = np.concatenate(heads)
+        tails = np.concatenate([_unpacked(t) for t in sent["tails"].to_pylist()])
+        counts = np.concatenate([_unpacked(c, "<i4") for c in sent["counts"].to_pylist()])
+        order = np.lexsort((tails, heads))
+        heads, tails, part = heads[order], tails[order], part[order]
+        first = np.flatnonzero(np.concatenate(([True], (heads[1:] != heads[:-1]) | (tails[1:] != tails[:-1]))))
+        total = np.add.reduceat(counts[order].astype(np.int64), first)
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(heads))))
+        often = total >= least
+        ids = np.full(len(first), -1, np.int64)
+        ids[often] = (sent["owner"][0].as_py() << 32) + np.arange(int(often.sum()))
+        tables = [_rows(_PAIR_ANSWER, int(often.sum()), id=ids[often], f=total[often], head=heads[first][often], tail=tails[first][often])]
+        kept = ids[group] >= 0
+        heads, tails, part, answer = heads[kept], tails[kept], part[kept], ids[group][kept]
+        order = np.argsort(part, kind="stable")
+        met, begin = np.unique(part[order], return_index=True)
+        lists = np.split(order, begin[1:]) if len(met) else []
+        tables.append(_rows(
+            _PAIR_ANSWER, len(met), block=blocks[met], heads=[_packed_sorted(heads[p]) for p in lists],
+            tails=[_packed(tails[p]) for p in lists], ids=[_packed(answer[p]) for p in lists],
+        ))
+        return pa.Table.from_batches(tables)
+
+    return find
+
+
+def _keep_pairs(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+    """A block's relation merged with itself, without the rare pairs."""
     if not relation.num_rows or not frequent.num_rows:
-        return schema.empty_table()
-    block = relation["block"][0].as_py()
-    places = np.cumsum(np.frombuffer(relation["gaps"][0].as_py(), "<i4"), dtype=np.int64)
-    phrases = np.frombuffer(relation["phrases"][0].as_py(), "<i4")
-    i, ids = frequent["i"].to_numpy(), frequent["id"].to_numpy()
-    new = np.full(int(max(phrases.max(), i.max())) + 1, -1, np.int32)
-    new[i] = np.arange(len(i))
-    phrases = new[phrases]
-    kept = phrases >= 0
-    places, numbers, distinct, counts = merge_adjacent(places[kept], phrases[kept])
-    if not len(distinct):
-        return schema.empty_table()
-    return pa.Table.from_batches([
-        _rows(_PAIRS, 1, block, gaps=[_gaps(places)], phrases=[numbers.astype("<i4").tobytes()]),
-        _rows(
-            _PAIRS, len(distinct), block, i=np.arange(len(distinct), dtype=np.int32),
-            head=ids[distinct >> 32], tail=ids[distinct & 0xFFFFFFFF], c=counts,
-        ),
-    ], schema)
+        return _schema(_RELATION).empty_table()
+    row = relation.to_pylist()[0]
+    places, phrases, ids = _open(row)
+    heads = np.concatenate([_unpacked_sorted(h) for h in frequent["heads"].to_pylist()])
+    tails, new = (np.concatenate([_unpacked(t) for t in frequent[c].to_pylist()]) for c in ("tails", "ids"))
+    pairs = np.searchsorted(ids, heads) << 32 | np.searchsorted(ids, tails)
+    order = np.argsort(pairs)
+    pairs, new = pairs[order], new[order]
+    places, joined = merge_adjacent(places, phrases)
+    at = np.minimum(np.searchsorted(pairs, joined), len(pairs) - 1)
+    kept = pairs[at] == joined
+    ids = np.sort(new)
+    return _relation(row["block"], places[kept], np.searchsorted(ids, new[at[kept]]), ids)
+
 
+def _owner_bits(rows: int, each: int) -> int:
+    return power_of_two(rows / each)
 
-def _frequent(level: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Written: the phrases with at least ``least`` occurrences, their count ``f`` and an id."""
-    counts = level.filter("gaps IS NULL").groupBy(*keys).agg(F.sum("c").alias("f"))
-    return written(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "phrases")
 
+class _Relation:
+    """The relation of one level, written; it is removed when the next one is."""
 
-def _next(level: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """Written: the next level's relation and counts."""
-    own = level.filter("gaps IS NULL").select("block", "i", *keys).join(frequent.select(*keys, "id"), keys)
-    relation = level.filter("gaps IS NOT NULL").select("block", "gaps", "phrases")
-    own = own.select(F.col("block").alias("of"), "i", "id")
-    pairs = relation.groupBy("block").cogroup(own.groupBy("of"))
-    return written(pairs.applyInArrow(_extend, _PAIRS), "phrase-relation")
+    def __init__(self, rows: DataFrame):
+        self.spark, self.path = rows.sparkSession, work_dir(rows.sparkSession, "phrase-relation")
+        rows.write.parquet(self.path)
+        self.rows = self.spark.read.schema(rows.schema).parquet(self.path)
+
+    def size(self) -> int:
+        return self.rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+    def narrowed(self, keep, answers: DataFrame) -> _Relation:
+        own = answers.filter("f IS NULL").withColumnRenamed("block", "of").drop("f")
+        pairs = self.rows.filter("gaps IS NOT NULL").groupBy("block").cogroup(own.groupBy("of"))
+        made = _Relation(pairs.applyInArrow(keep, _RELATION))
+        folders.remove(self.spark, self.path)
+        return made
 
 
 def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_words: int = BLOCK_WORDS) -> list[DataFrame]:
@@ -174,25 +307,33 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_word
     id, lang, n (all words of the language), phrase, last (word), f, heads (counts of its proper
     beginnings, by length), tails (counts of what is left of it behind each of them), and from 2
     words on head and tail, the ids of the phrase without its last and without its first word."""
-    level = written(word_relation(docs, block_words), "word-relation")
-    sizes = level.filter("gaps IS NULL").groupBy("lang").agg(F.sum("c").alias("n"))
-    keys = ["lang", "word"]
-    frequent = _frequent(level, keys, least)
+    level = _Relation(word_relation(docs, block_words))
+    sizes = written(
+        level.rows.filter("i IS NULL AND lang IS NOT NULL").groupBy("lang").agg(F.sum("c").alias("n")), "phrase-languages"
+    )
+    words = level.rows.filter("i IS NOT NULL")
+    owners = 1 << _owner_bits(words.count(), OWNER_WORDS)
+    sent = words.select(F.pmod(F.xxhash64("lang", "word"), F.lit(owners)).alias("owner"), "block", "i", "lang", "word", "c")
+    answers = written(sent.groupBy("owner").applyInArrow(_frequent_words(least), _WORD_ANSWER), "phrase-answers")
     word, none = F.col("word").cast("string"), F.array().cast("array<long>")
-    words = lookup_join(frequent, sizes, "lang", ["id"], how="inner")
-    found = [written(words.select(
+    frequent = lookup_join(answers.filter("f IS NOT NULL").select("id", "f", "lang", "word"), sizes, "lang", ["id"], how="inner")
+    found = [written(frequent.select(
         "id", "lang", "n", word.alias("phrase"), word.alias("last"), "f", none.alias("heads"), none.alias("tails")
     ), "phrases")]
-    for _ in range(longest - 1):
-        level = _next(level, frequent, keys)
-        keys = ["head", "tail"]
-        frequent = _frequent(level, keys, least)
+    level = level.narrowed(_keep_words, answers)
+    for length in range(2, longest + 1):
+        sent = level.rows.mapInArrow(_count_pairs(_owner_bits(level.size(), OWNER_PAIRS)), _SENT)
+        answers = written(sent.groupBy("owner").applyInArrow(_frequent_pairs(least), _PAIR_ANSWER), "phrase-answers")
         head = found[-1].select(
             F.col("id").alias("head"), "lang", "n", "phrase", F.array_append("heads", F.col("f")).alias("heads")
         )
         tail = found[-1].select(F.col("id").alias("tail"), "last", F.array_prepend("tails", F.col("f")).alias("tails"))
-        phrases = frequent.join(head, "head").join(tail, "tail").withColumn("phrase", F.concat_ws(" ", "phrase", "last"))
+        pairs = answers.filter("f IS NOT NULL").select("id", "f", "head", "tail")
+        phrases = pairs.join(head, "head").join(tail, "tail").withColumn("phrase", F.concat_ws(" ", "phrase", "last"))
         found.append(written(phrases, "phrases"))
+        if length < longest:
+            level = level.narrowed(_keep_pairs, answers)
+    folders.remove(level.spark, level.path)
     return found
 
 
