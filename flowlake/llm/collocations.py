@@ -59,7 +59,7 @@ _WORDS = "block long, n long, gaps binary, phrases binary, i int, lang string, w
 _RELATION = "block long, n long, gaps binary, phrases binary, ids binary"
 _SENT = "owner long, block long, heads binary, tails binary, counts binary"
 # What owners find: a frequent phrase (``f`` is set), or an answer to a block.
-_WORD_ANSWER = "id long, f long, lang string, word binary, block long, i int"
+_WORD_ANSWER = "id long, f long, lang string, word binary, block long, numbers binary, ids binary"
 _PAIR_ANSWER = "id long, f long, head long, tail long, block long, heads binary, tails binary, ids binary"
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
 
@@ -96,6 +96,13 @@ def _unpacked_sorted(data: bytes, kind: str = "<i8") -> np.ndarray:
     return np.cumsum(_unpacked(data, kind), dtype=np.int64)
 
 
+def _by_key(keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(distinct keys ascending, the places of each in order)."""
+    order = np.argsort(keys, kind="stable")
+    distinct, begin = np.unique(keys[order], return_index=True)
+    return distinct, np.split(order, begin[1:]) if len(distinct) else []
+
+
 class Block:
     """The words of some documents: numbers by language and word, in the order of their places."""
 
@@ -162,12 +169,14 @@ def _frequent_words(least: int):
         ids = (sent["owner"][0].as_py() << 32) + np.arange(total.num_rows)
         total = total.append_column("id", pa.array(ids))
         found = sent.select(["lang", "word", "block", "i"]).join(total.select(["lang", "word", "id"]), ["lang", "word"], join_type="inner")
-        frequent = {"id": ids, "f": total["c_sum"], "lang": total["lang"], "word": total["word"]}
-        answers = {"id": found["id"], "block": found["block"], "i": found["i"]}
-        schema = _schema(_WORD_ANSWER)
-        return pa.concat_tables([
-            pa.table([t[f.name] if f.name in t else pa.nulls(n, f.type) for f in schema], schema=schema)
-            for t, n in ((frequent, total.num_rows), (answers, found.num_rows))
+        block, i, answer = (found[c].to_numpy() for c in ("block", "i", "id"))
+        met, lists = _by_key(block)
+        return pa.Table.from_batches([
+            _rows(_WORD_ANSWER, total.num_rows, id=ids, f=total["c_sum"].to_numpy(), lang=total["lang"].to_pylist(), word=total["word"].to_pylist()),
+            _rows(
+                _WORD_ANSWER, len(met), block=met, numbers=[_packed(i[p], "<i4") for p in lists],
+                ids=[_packed(answer[p]) for p in lists],
+            ),
         ])
 
     return find
@@ -178,9 +187,11 @@ def _keep_words(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     if not relation.num_rows or not frequent.num_rows:
         return _schema(_RELATION).empty_table()
     phrases = _unpacked(relation["phrases"][0].as_py(), "<i4")
-    i, ids = frequent["i"].to_numpy(), np.sort(frequent["id"].to_numpy())
+    i = np.concatenate([_unpacked(n, "<i4") for n in frequent["numbers"].to_pylist()])
+    answer = np.concatenate([_unpacked(a) for a in frequent["ids"].to_pylist()])
+    ids = np.sort(answer)
     new = np.full(int(max(phrases.max(), i.max())) + 1, -1, np.int64)
-    new[i] = np.searchsorted(ids, frequent["id"].to_numpy())
+    new[i] = np.searchsorted(ids, answer)
     phrases = new[phrases]
     kept = phrases >= 0
     places = _unpacked_sorted(relation["gaps"][0].as_py(), "<i4")[kept]
@@ -216,9 +227,7 @@ def _count_pairs(owner_bits: int):
                 with np.errstate(over="ignore"):
                     mixed = mix64(mix64(heads.view(np.uint64)) + tails.view(np.uint64))
                 owner = (mixed & np.uint64((1 << owner_bits) - 1)).astype(np.int64)
-                order = np.argsort(owner, kind="stable")
-                owners, begin = np.unique(owner[order], return_index=True)
-                parts = np.split(order, begin[1:]) if len(owners) else []
+                owners, parts = _by_key(owner)
                 yield _rows(
                     _SENT, len(owners), owner=owners, block=row["block"],
                     heads=[_packed_sorted(heads[p]) for p in parts], tails=[_packed(tails[p]) for p in parts],
@@ -249,9 +258,7 @@ def _frequent_pairs(least: int):
         tables = [_rows(_PAIR_ANSWER, int(often.sum()), id=ids[often], f=total[often], head=heads[first][often], tail=tails[first][often])]
         kept = ids[group] >= 0
         heads, tails, part, answer = heads[kept], tails[kept], part[kept], ids[group][kept]
-        order = np.argsort(part, kind="stable")
-        met, begin = np.unique(part[order], return_index=True)
-        lists = np.split(order, begin[1:]) if len(met) else []
+        met, lists = _by_key(part)
         tables.append(_rows(
             _PAIR_ANSWER, len(met), block=blocks[met], heads=[_packed_sorted(heads[p]) for p in lists],
             tails=[_packed(tails[p]) for p in lists], ids=[_packed(answer[p]) for p in lists],
