@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlake.functions import rules
 from flowlake.functions.casts import as_of_column
+from flowlake.sinks import timed
 
 CRITICAL_ALERT = 2
 
@@ -16,7 +17,9 @@ def since(ts: str, window: str, as_of=None) -> Column:
 
 
 def recent(df: DataFrame, ts: str, window: str, as_of=None) -> DataFrame:
-    return df.filter(since(ts, window, as_of))
+    """Rows with ``ts`` later than ``window`` before now; of a table laid by ``ts``, from those periods only."""
+    start = as_of_column(as_of) - F.expr(f"INTERVAL {window}")
+    return timed.since(df, start).filter(since(ts, window, as_of))
 
 
 def mean(column: str, places: int) -> Column:

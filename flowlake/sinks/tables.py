@@ -8,19 +8,31 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+BATCH = "batch_id"
+# Names of the partition columns of tables laid by time.
+GRAINS = ("day", "month", "year")
+
 
 def as_schema(schema: str | StructType) -> StructType:
     return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def grain_of(columns: Sequence[str]) -> str | None:
+    """The column a table is laid by (see ``sinks.timed``), if it has one."""
+    return next((name for name in GRAINS if name in columns), None)
+
+
 def append_batch(df: DataFrame, batch_id: int, path: str, exactly_once: bool = True) -> None:
     """Append one micro-batch.
 
     Exactly once: a batch owns the folder ``batch_id=N`` and a replay overwrites it.
-    At least once: a replay appends its rows again.
+    At least once: a replay appends its rows again. A frame with a column of ``GRAINS`` is laid by it.
     """
-    mode = "overwrite" if exactly_once else "append"
-    df.write.mode(mode).parquet(f"{path}/batch_id={batch_id}")
+    writer = df.write.mode("overwrite" if exactly_once else "append")
+    grain = grain_of(df.columns)
+    if grain:
+        writer = writer.partitionBy(grain)
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def fan_out(targets: Mapping[str, DataFrame], batch_id: int, exactly_once: bool = True) -> None:
@@ -31,7 +43,11 @@ def fan_out(targets: Mapping[str, DataFrame], batch_id: int, exactly_once: bool
 
 def read_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """The table at ``path``, or an empty one where nothing has been written yet."""
+    from flowlake.sinks import timed
+
     schema = as_schema(schema)
+    if timed.is_timed(spark, path):
+        return timed.read_timed(spark, path, schema).select(*schema.fieldNames())
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
@@ -41,13 +57,10 @@ def read_table(spark: SparkSession, path: str, schema: str | StructType) -> Data
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("_ INT").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether anything was written at ``path``, a plain or laid table or a merge target."""
+    from flowlake.sinks.folders import children
+
+    return bool(children(spark, path))
 
 
 def write_table(

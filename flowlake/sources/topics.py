@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
+from flowlake.sinks.folders import stamp_in_order
 
 CONF_PREFIX = "flowlake.kafka."
 
@@ -17,7 +18,8 @@ class JobSettings:
     """How a job reads its topic and when it fails.
 
     ``interval_ms`` and ``max_rows`` close a micro-batch, ``readers`` 0 keeps one reader per
-    topic partition, ``reject_limit`` -1 never fails a batch.
+    topic partition, ``reject_limit`` -1 never fails a batch. ``grain`` is the period (day, month or
+    year of the event) that the job's tables are laid by.
     """
 
     interval_ms: int
@@ -27,6 +29,7 @@ class JobSettings:
     start: str = "earliest"
     readers: int = 0
     group: str | None = None
+    grain: str = "day"
 
 
 # The batch interval, batch size, delivery and reject limit of each job.
@@ -95,9 +98,10 @@ def replay_topic(
 
 
 def archive_topic(messages: DataFrame, path: str, files: int = 4) -> str:
-    """Write messages for ``replay_topic``, in ``files`` ranges of the message time."""
+    """Write messages for ``replay_topic``, in ``files`` ranges of the message time, oldest first."""
     ranges = messages.repartitionByRange(files, "timestamp", "partition", "offset")
     ranges.sortWithinPartitions("timestamp", "partition", "offset").write.parquet(path)
+    stamp_in_order(messages.sparkSession, path)
     return path
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowlake import schemas
 from flowlake.operators import merge, parse
 from flowlake.session import work_dir
+from flowlake.sinks import fences, folders
 from flowlake.sinks.tables import append_batch, fan_out, read_table
 from flowlake.sources import topics
 from flowlake.sources.topics import JobSettings
@@ -61,8 +62,8 @@ def test_orders_in_batches_equal_the_batch_answer(spark):
     assert read_table(spark, f"{path}/t/orders", schemas.ORDERS).count() == 30
 
 
-def test_a_lost_checkpoint_replays_without_doubles(spark):
-    """Exactly once: the same batches overwrite themselves. At least once: they double."""
+def test_a_lost_checkpoint_is_refused_until_the_tables_are_reset(spark):
+    """Both modes of delivery: nothing is overwritten or doubled by a job that counts anew."""
     path = work_dir(spark, "replay")
     topic = f"{path}/topic"
     for i in range(3):
@@ -72,12 +73,37 @@ def test_a_lost_checkpoint_replays_without_doubles(spark):
         settings = JobSettings(interval_ms=100, exactly_once=exactly_once)
         stream = topics.replay_topic(spark, topic, files_per_batch=1)
         drain(jobs.run_orders(stream, f"{path}/{name}", f"{path}/{checkpoint}", settings, True, AS_OF))
+
+    def count(name):
         return read_table(spark, f"{path}/{name}/orders", schemas.ORDERS).count()
 
-    assert run("once", "c1", True) == 12
-    assert run("once", "c2", True) == 12
-    assert run("least", "c3", False) == 12
-    assert run("least", "c4", False) == 24
+    for name, exactly_once in (("once", True), ("least", False)):
+        run(name, f"{name}-1", exactly_once)
+        assert count(name) == 12
+        with pytest.raises(StreamingQueryException, match="another checkpoint"):
+            run(name, f"{name}-2", exactly_once)
+        assert count(name) == 12
+        # The job's own checkpoint may start again.
+        run(name, f"{name}-1", exactly_once)
+        assert count(name) == 12
+        jobs.reset(spark, f"{path}/{name}", "orders")
+        assert count(name) == 0
+        run(name, f"{name}-3", exactly_once)
+        assert count(name) == 12
+
+
+def test_two_writers_that_begin_at_once_cannot_miss_each_other(spark):
+    path = work_dir(spark, "fence")
+    fences.claim(spark, path, "a")
+    fences.claim(spark, path, "a")
+    with pytest.raises(fences.ForeignWriter):
+        fences.claim(spark, path, "b")
+    assert fences.owners(spark, path) == ["a"]
+    # Both have made their mark before either looked: neither writes.
+    folders.make(spark, f"{path}/_fence/b")
+    for owner in ("a", "b"):
+        with pytest.raises(fences.ForeignWriter):
+            fences.claim(spark, path, owner)
 
 
 def test_a_crash_between_two_targets_leaves_no_doubles(spark, monkeypatch):
