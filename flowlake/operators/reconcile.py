@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlake.functions.casts import as_of_column
 from flowlake.operators.ids import allocate_ids
@@ -30,26 +30,66 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of=None) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+# Parts of a bag that are compared by fingerprint.
+FINGERPRINTS = 4096
+
+
+def _hash(names: Sequence[str], seed: int) -> Column:
+    """A hash of a row. NULLs, which hashing passes over, are told by their places."""
+    nulls = F.concat(*[F.when(F.col(name).isNull(), "1").otherwise("0") for name in names])
+    return F.xxhash64(F.lit(seed), *names, nulls)
+
+
+def fingerprints(rows: DataFrame, side: str) -> DataFrame:
+    """(part, rows and sums of two row hashes) of a bag's parts: equal for equal bags in any order."""
+    sums = [F.sum(F.col(h).cast("decimal(20,0)")).alias(f"{side}_{h}") for h in ("h1", "h2")]
+    return rows.groupBy("part").agg(F.count("*").alias(f"{side}_rows"), *sums)
+
+
 def count_differences(
     left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """How many rows each side has, and how many of them the other lacks, as bags.
 
-    Both sides are counted per distinct row in one aggregate, so equal rows meet after they
-    were reduced and NULL equals NULL.
+    Both sides are cut into parts by a row hash, and a part whose count and hash sums are the same
+    is taken as equal (two 64-bit sums). Only rows of the other parts are shuffled: they are counted
+    per distinct row in one aggregate, so equal rows meet after they were reduced and NULL equals NULL.
     """
     names = list(columns or left.columns)
-    sides = left.select(*names, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
-        right.select(*names, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    # Both sides get the types their union has, or equal values would hash apart.
+    kinds = left.select(*names).unionAll(right.select(*names)).schema
+
+    def hashed(df: DataFrame) -> DataFrame:
+        rows = df.select(*names).toDF(*names)
+        rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds])
+        rows = rows.withColumns({"h1": _hash(names, 1), "h2": _hash(names, 2)})
+        return rows.withColumn("part", F.pmod("h1", F.lit(FINGERPRINTS)))
+
+    sides = {"left": hashed(left), "right": hashed(right)}
+    parts = fingerprints(sides["left"], "left").join(fingerprints(sides["right"], "right"), "part", "full")
+    same = (
+        F.col("left_rows").eqNullSafe(F.col("right_rows"))
+        & F.col("left_h1").eqNullSafe(F.col("right_h1")) & F.col("left_h2").eqNullSafe(F.col("right_h2"))
     )
-    rows = sides.groupBy(*names).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    # At most FINGERPRINTS numbers; without any, the rows behind them are not even hashed again.
+    apart = F.broadcast(parts.filter(~same).select("part"))
+    flags = {"left": (1, 0), "right": (0, 1)}
+    marked = [
+        df.join(apart, "part", "left_semi").select(*names, F.lit(flags[s][0]).alias("_l"), F.lit(flags[s][1]).alias("_r"))
+        for s, df in sides.items()
+    ]
+    rows = marked[0].unionAll(marked[1]).groupBy(*names).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     surplus = F.col("_l") - F.col("_r")
-    return rows.agg(
-        F.coalesce(F.sum("_l"), F.lit(0)).alias("left_rows"),
-        F.coalesce(F.sum("_r"), F.lit(0)).alias("right_rows"),
-        F.coalesce(F.sum(F.greatest(surplus, F.lit(0))), F.lit(0)).alias("only_left"),
-        F.coalesce(F.sum(F.greatest(-surplus, F.lit(0))), F.lit(0)).alias("only_right"),
+    none = F.lit(0).cast("bigint")
+    found = rows.agg(
+        F.coalesce(F.sum(F.greatest(surplus, none)), none).alias("only_left"),
+        F.coalesce(F.sum(F.greatest(-surplus, none)), none).alias("only_right"),
+    )
+    totals = parts.agg(
+        F.coalesce(F.sum("left_rows"), none).alias("left_rows"), F.coalesce(F.sum("right_rows"), none).alias("right_rows")
     )
+    # One row each.
+    return totals.crossJoin(found)
 
 
 def consumer_parity(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,6 +17,8 @@ from flowlake.operators.topk import bounded, recent_rows
 DATA_CHANGING = (
     "DROP", "DELETE", "TRUNCATE", "ALTER", "UPDATE", "INSERT", "GRANT", "REVOKE", "CREATE",
 )
+# What the parser calls a statement that changes something, wherever it stands in the plan.
+CHANGING_NODES = ("InsertInto", "UpdateTable", "DeleteFromTable", "MergeIntoTable", "CreateTable", "ReplaceTable")
 MAX_ROWS = 500
 TIMEOUT_SECONDS = 15.0
 JOB_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
@@ -25,6 +27,8 @@ JOB_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.inter
 READING = ("SELECT", "WITH", "VALUES", "TABLE", "FROM", "SHOW", "DESCRIBE", "DESC", "EXPLAIN")
 
 _READING = re.compile(rf"[(\s]*({'|'.join(READING)})\b", re.IGNORECASE)
+# Words in quotes are no statement; a quote that does not end where it seems to is caught by the plan.
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`""", re.DOTALL)
 _CHANGING = re.compile(rf"\b({'|'.join(DATA_CHANGING)})\b", re.IGNORECASE)
 
 
@@ -54,18 +58,25 @@ class QueryResult:
 
 
 def check_statement(sql: str, confirm: bool = False) -> str:
-    """One statement, not empty, and confirmed where it has a data-changing word or does not
-    begin as one that reads."""
+    """One statement, not empty, and confirmed where it has a data-changing word outside of quotes
+    or does not begin as one that reads."""
     statement = sql.strip().rstrip(";").rstrip()
+    bare = _QUOTED.sub("''", statement)
     if not statement:
         raise StatementRefused("empty query")
-    if ";" in statement:
+    if ";" in bare:
         raise StatementRefused("only a single statement is allowed per run")
-    if not confirm and (_CHANGING.search(statement) or not _READING.match(statement)):
+    if not confirm and (_CHANGING.search(bare) or not _READING.match(bare)):
         raise NeedsConfirmation("this looks like a data-changing statement")
     return statement
 
 
+def changes_data(spark: SparkSession, statement: str) -> bool:
+    """Whether Spark's parser reads the statement as anything but a question."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    return any(word in plan.toString() for word in CHANGING_NODES)
+
+
 def _cancel_after(context, group: str, timeout: float, done: threading.Event) -> None:
     """Cancel a job group once its time is up, and again for jobs that start later."""
     if done.wait(timeout):
@@ -84,6 +95,8 @@ def guarded_sql(
     ``frame`` of the result is the whole answer, not run yet where the statement is a query.
     """
     statement = check_statement(sql, confirm)
+    if not confirm and changes_data(spark, statement):
+        raise NeedsConfirmation("this is a data-changing statement")
     context = spark.sparkContext
     group = f"adhoc-{uuid.uuid4().hex}"
     before = {name: context.getLocalProperty(name) for name in JOB_PROPERTIES}
@@ -127,12 +140,33 @@ def recent_accounts(accounts: DataFrame, n: int = 20) -> DataFrame:
     return recent_rows(accounts, "event_ts", n, tie=["account_id"])
 
 
-def presets(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The quick-start questions: counts on both sides, and the accounts that changed last.
+def latest_ingested(accounts: DataFrame, n: int = 20) -> DataFrame:
+    """The accounts that came in last, as a dashboard shows them."""
+    columns = ["account_id", "consumer_id", "lender_id", "product", "outstanding_amount", "dpd_bucket",
+               "status", "event_ts", "ingested_ts"]
+    return recent_rows(accounts, "ingested_ts", n, columns, ["account_id"])
+
+
+def row_count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("n"))
+
+
+def presets(
+    source: dict[str, DataFrame], target: dict[str, DataFrame], streams: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """The quick-start questions: counts on both sides, the accounts that changed last, and the rows
+    of the streamed tables.
 
-    ``source`` and ``target`` map table names to tables; both hold ``credit_accounts``.
+    ``source`` and ``target`` map table names to tables; both hold ``credit_accounts``. ``streams``
+    holds ``ecommerce_orders`` and ``iot_sensor_readings``.
     """
-    return {
+    counts = {}
+    if streams:
+        counts = {
+            "Ecommerce row count": row_count(streams["ecommerce_orders"]),
+            "IoT row count": row_count(streams["iot_sensor_readings"]),
+        }
+    return counts | {
         "Source row counts": table_counts(source),
         "Recent source rows": recent_accounts(source["credit_accounts"]),
         "Target row counts": table_counts(target),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 from pyspark import StorageLevel
@@ -63,11 +64,37 @@ def feature_vector(as_of=None) -> Column:
     return F.array(*[slot.cast("double") for slot in slots])
 
 
+class State(NamedTuple):
+    """The latest row of each account, and the latest score of each consumer."""
+
+    accounts: DataFrame
+    scores: DataFrame
+
+
+def latest_state(accounts: DataFrame, scores: DataFrame) -> State:
+    latest = latest_accounts(accounts.select(*ACCOUNT_INPUTS))
+    return State(latest, latest_scores(scores.select(*SCORE_INPUTS)).select("consumer_id", "score_value"))
+
+
+def write_state(accounts: DataFrame, scores: DataFrame, path: str) -> State:
+    """The latest state as tables below ``path``: each feed is read once, whatever is made of it."""
+    latest = latest_state(accounts, scores)
+    return State(materialize(latest.accounts, f"{path}/accounts"), materialize(latest.scores, f"{path}/scores"))
+
+
+def read_state(spark: SparkSession, path: str) -> State:
+    return State(spark.read.parquet(f"{path}/accounts"), spark.read.parquet(f"{path}/scores"))
+
+
 def credit_features(accounts: DataFrame, scores: DataFrame, as_of=None) -> DataFrame:
     """Label and features of every latest account, with its consumer's latest score."""
-    latest = latest_accounts(accounts.select(*ACCOUNT_INPUTS))
-    score = latest_scores(scores.select(*SCORE_INPUTS)).select("consumer_id", "score_value")
-    joined = lookup_join(latest, score, "consumer_id", spread=["account_id"])
+    return features_of(latest_state(accounts, scores), as_of)
+
+
+def features_of(state: State, as_of=None) -> DataFrame:
+    """Label and features of a state's accounts. The join reads the accounts twice, so the state
+    should be written (``write_state``)."""
+    joined = lookup_join(state.accounts, state.scores, "consumer_id", spread=["account_id"])
     return joined.select(
         "account_id",
         "consumer_id",
@@ -174,7 +201,9 @@ def _wald(information: np.ndarray, coef: list[float]):
 def score_accounts(features: DataFrame, model: DataFrame) -> DataFrame:
     """Probability and tier of every account. The model is one row, so it is broadcast."""
     margin = vectors.dot(F.col("coef"), F.col("features"))
-    rows = features.crossJoin(F.broadcast(model.select("coef").limit(1)))
+    one = F.assert_true(F.count("*") == 1, "a model has one row")
+    coef = model.agg(F.first("coef").alias("coef"), one.alias("one")).filter("one IS NULL")
+    rows = features.crossJoin(F.broadcast(coef))
     return rows.select(
         "account_id",
         "consumer_id",
@@ -186,7 +215,15 @@ def score_accounts(features: DataFrame, model: DataFrame) -> DataFrame:
 def top_risk(scores: DataFrame, accounts: DataFrame, n: int = 20) -> DataFrame:
     """The accounts most likely delinquent, with their current state."""
     shown = ["account_id", "product", "outstanding_amount", "dpd_bucket", "status"]
-    state = latest_accounts(accounts.select(*shown, *LATEST_BY)).drop(*LATEST_BY)
+    return _top(scores, latest_accounts(accounts.select(*shown, *LATEST_BY)).drop(*LATEST_BY), n)
+
+
+def top_risk_of(scores: DataFrame, state: State, n: int = 20) -> DataFrame:
+    """``top_risk`` of a state that is there already."""
+    return _top(scores, state.accounts.select("account_id", "product", "outstanding_amount", "dpd_bucket", "status"), n)
+
+
+def _top(scores: DataFrame, state: DataFrame, n: int) -> DataFrame:
     order = [F.desc_nulls_first("probability_delinquent"), F.asc("account_id")]
     return scores.join(state, "account_id").orderBy(*order).limit(n)
 
@@ -207,10 +244,11 @@ def run_credit(
 ) -> CreditRun:
     """Features, model and scores as tables below ``path``, and the tier summary.
 
-    The features are written before training: the solver reads them once per iteration, and
+    The latest state is written once, and the features before training: the solver reads them once per iteration, and
     a lost executor must not redo the joins.
     """
-    features = materialize(credit_features(accounts, scores, as_of), f"{path}/features")
+    state = write_state(accounts, scores, f"{path}/state")
+    features = materialize(features_of(state, as_of), f"{path}/features")
     reason = train_gate(features).first()["skip_reason"]
     if reason:
         model = None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from flowlake.operators.parse import BAD_LINE, CSV_ESCAPE, READING_COLUMNS
 
+COPIES = 100_000
 EXTERNAL_FORMATS = ("orc", "parquet", "json")
 
 
@@ -21,7 +22,8 @@ def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
 
     The place is the file, a hash of the line's values and the number of the line among its equals
     in that file, so it depends neither on splits nor on the order of tasks. Equal lines are
-    counted in each task before the shuffle and spelt out again behind it.
+    counted in each task before the shuffle and spelt out again behind it, in blocks of
+    ``COPIES`` that are dealt over all tasks.
     """
     names = [*READING_COLUMNS, BAD_LINE]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
@@ -33,9 +35,16 @@ def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
     counted = placed.groupBy(*placed.columns).agg(F.count("*").alias("_copies"))
     # Values that are NULL have no field, so they differ from empty ones.
     content = F.md5(F.to_json(F.struct(*names)))
-    return counted.select(
-        *placed.columns, content.alias("source_hash"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("source_copy"),
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    named = counted.withColumn("source_hash", content)
+    many = F.floor((F.col("_copies") - 1) / COPIES)
+    blocks = named.withColumn("_block", F.explode(F.sequence(zero, many)))
+    # Blocks of one line go to different tasks; lines with a block only are many as they are.
+    blocks = blocks.repartition("source_hash", "source_file", "_block")
+    first = F.col("_block") * COPIES
+    last = F.least(first + COPIES, F.col("_copies"))
+    return blocks.select(
+        *placed.columns, "source_hash", F.explode(F.sequence(first + one, last)).alias("source_copy")
     )
 
 
