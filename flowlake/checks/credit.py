@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
 from flowlake.checks import fixtures as fx
-from flowlake.checks.registry import check
+from flowlake.checks.registry import check, written_once
 from flowlake.functions import vectors
 from flowlake.operators import kpi, latest, merge, parse, reconcile, topk
 from flowlake.plans import adhoc, credit
@@ -71,8 +71,26 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.target_rows(good, schemas.SCORES)
 
 
+def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Typed accounts and scores as tables, so that no query of them parses a feed again."""
+
+    def table(name: str, rows) -> DataFrame:
+        path = written_once(spark, sf_dir, f"feed-{name}", lambda p: rows(spark, sf_dir).write.parquet(p))
+        return spark.read.schema(rows(spark, sf_dir).schema).parquet(path)
+
+    return table("accounts", account_rows), table("scores", scores)
+
+
+def state(spark: SparkSession, sf_dir: str) -> credit.State:
+    """Latest accounts and scores, written once."""
+    path = written_once(
+        spark, sf_dir, "credit-state", lambda p: credit.write_state(*feeds(spark, sf_dir), p)
+    )
+    return credit.read_state(spark, path)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return credit.credit_features(account_rows(spark, sf_dir), scores(spark, sf_dir), AS_OF)
+    return credit.features_of(state(spark, sf_dir), AS_OF)
 
 
 def fixed_model(spark: SparkSession) -> DataFrame:
@@ -211,23 +229,6 @@ def cdc_counts(spark, sf_dir):
     })
 
 
-def fresh_sql(name: str, column: str, table: str) -> str:
-    return f"""SELECT '{name}' AS table_name, COUNT(*) AS record_count,
-make_timestamp(MAX({column}) * 1000) AS newest_record FROM {table}"""
-
-
-@check(f"""{BOTH} {fresh_sql('credit_accounts', 'event_ms', 'fx_account_changes')}
-UNION ALL {fresh_sql('bureau_score_events', 'score_ms', 'fx_scores')}""")
-def cdc_freshness(spark, sf_dir):
-    tables = {
-        "credit_accounts": (account_rows(spark, sf_dir), "event_ts"),
-        "bureau_score_events": (scores(spark, sf_dir), "score_ts"),
-    }
-    return reconcile.freshness(tables, fx.AS_OF).select(
-        "table_name", "record_count", "newest_record"
-    )
-
-
 @check(f"""{BOTH}, missing AS (SELECT DISTINCT consumer_id FROM fx_account_changes a
   WHERE NOT EXISTS (SELECT 1 FROM fx_scores s WHERE s.consumer_id = a.consumer_id))
 SELECT (SELECT COALESCE(MAX(score_event_id), 100000) FROM fx_scores) + row_number() OVER
@@ -235,9 +236,7 @@ SELECT (SELECT COALESCE(MAX(score_event_id), 100000) FROM fx_scores) + row_numbe
   consumer_id, CAST({BACKFILL_SCORE} AS INT) AS score_value, 'v3.0' AS score_version,
   'periodic_refresh' AS score_trigger, TIMESTAMP '{fx.AS_OF}' AS score_ts FROM missing""")
 def score_gaps(spark, sf_dir):
-    return reconcile.backfill_scores(
-        account_rows(spark, sf_dir), scores(spark, sf_dir), BACKFILL_SCORE, as_of=fx.AS_OF
-    )
+    return reconcile.backfill_scores(*feeds(spark, sf_dir), BACKFILL_SCORE, as_of=fx.AS_OF)
 
 
 SLOTS_SQL = ", ".join(f"round(f{i}, 9) AS f{i}" for i in range(9))
@@ -274,14 +273,12 @@ CAST(a.outstanding_amount AS DOUBLE) AS outstanding_amount, a.dpd_bucket, a.stat
 FROM scored JOIN a ON a.account_id = scored.account_id
 ORDER BY scored.probability_delinquent DESC, scored.account_id LIMIT 20""")
 def top_risk(spark, sf_dir):
-    return rounded(credit.top_risk(scored(spark, sf_dir), account_rows(spark, sf_dir)))
+    return rounded(credit.top_risk_of(scored(spark, sf_dir), state(spark, sf_dir)))
 
 
 def credit_run(spark: SparkSession, sf_dir: str) -> credit.CreditRun:
     path = work_dir(spark, "credit")
-    return credit.run_credit(
-        spark, account_rows(spark, sf_dir), scores(spark, sf_dir), path, AS_OF
-    )
+    return credit.run_credit(spark, *feeds(spark, sf_dir), path, AS_OF)
 
 
 @check()

@@ -8,7 +8,6 @@ from flowlake import schemas
 from flowlake.checks import fixtures as fx
 from flowlake.checks.registry import check, written_once
 from flowlake.operators import external, reconcile, topk
-from flowlake.sources.files import file_inventory as list_files
 from flowlake.sources.files import read_external
 
 PRICES = fx.ctes("fx_prices")
@@ -131,6 +130,23 @@ def format_parity(spark, sf_dir):
     )
 
 
+@check(f"""{PRICES}, k AS (SELECT volume % 23 AS k FROM fx_prices),
+n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE k = 0) AS lost, COUNT(*) FILTER (WHERE k = 1) AS doubled FROM k)
+SELECT n AS left_rows, n - lost + doubled AS right_rows, lost AS only_left, doubled AS only_right,
+lost + doubled = 0 AS same FROM n""")
+def format_parity_apart(spark, sf_dir):
+    """A copy in the other format that lost some rows and holds others twice."""
+    copy = price_table(spark, sf_dir, "parquet").filter(F.col("volume") % 23 != 0)
+    copy = copy.unionAll(copy.filter(F.col("volume") % 23 == 1))
+    return reconcile.format_parity(price_table(spark, sf_dir, "orc"), copy)
+
+
+@check(f"""{PRICES} SELECT COUNT(*) AS n FROM (SELECT * FROM fx_prices LIMIT 25)""")
+def plain_limit(spark, sf_dir):
+    """Any 25 rows."""
+    return price_table(spark, sf_dir).limit(25).agg(F.count("*").alias("n"))
+
+
 @check(f"""{PRICES}, n AS (SELECT COUNT(*) AS row_count FROM fx_prices WHERE symbol = '{SYMBOL}')
 SELECT f AS file_format, p AS pushdown, row_count FROM n,
   (VALUES ('orc', TRUE), ('orc', FALSE), ('parquet', TRUE), ('parquet', FALSE)) v(f, p)""")
@@ -144,8 +160,3 @@ def pushdown_counts(spark, sf_dir):
         )
     ]
     return spark.createDataFrame(found, "file_format STRING, pushdown BOOLEAN, row_count BIGINT")
-
-
-@check()
-def file_inventory(spark, sf_dir):
-    return list_files(spark, sf_dir)

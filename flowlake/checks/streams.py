@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
 from flowlake.checks import credit, fixtures as fx, orders, sensors
 from flowlake.checks.registry import check, written_once
-from flowlake.operators import merge, parse, reconcile
+from flowlake.operators import kpi, merge, parse, reconcile
 from flowlake.session import work_dir
-from flowlake.sinks.tables import read_table
-from flowlake.sources.topics import archive_topic, replay_topic
+from flowlake.sinks import folders, timed
+from flowlake.sinks.tables import materialize, read_table, table_exists
+from flowlake.sources.topics import (
+    ACCOUNTS_JOB, INQUIRIES_JOB, MIRROR_JOB, ORDERS_JOB, READINGS_JOB, SCORES_JOB, archive_topic, replay_topic,
+)
 from flowlake.sources.topics import topic_totals as message_totals
 from flowlake.streaming import jobs, progress, windows
 
@@ -39,44 +46,55 @@ def finish(query) -> None:
         raise query.exception()
 
 
-def ingest(spark: SparkSession, sf_dir: str, *topics: str) -> str:
-    """Run the jobs of some topics to the end; give the folder of their tables."""
-    runners = {
-        "orders": jobs.run_orders,
-        "readings": jobs.run_iot,
-        "accounts": jobs.run_accounts,
-        "scores": jobs.run_scores,
-        "inquiries": jobs.run_inquiries,
-    }
+# The topics hold months to years, so their tables are laid by month.
+RUNNERS = {
+    "orders": (jobs.run_orders, ORDERS_JOB),
+    "mirror": (jobs.run_mirror, MIRROR_JOB),
+    "readings": (jobs.run_iot, READINGS_JOB),
+    "accounts": (jobs.run_accounts, ACCOUNTS_JOB),
+    "scores": (jobs.run_scores, SCORES_JOB),
+    "inquiries": (jobs.run_inquiries, INQUIRIES_JOB),
+}
+
+
+def start(spark: SparkSession, sf_dir: str, job: str, path: str, checkpoint: str):
+    run, settings = RUNNERS[job]
+    messages = replay(spark, sf_dir, "orders" if job == "mirror" else job)
+    settings = replace(settings, grain="month")
+    return run(messages, path, checkpoint, settings, available_now=True, as_of=fx.AS_OF)
+
+
+def ingest(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """Run some jobs to the end; give the folder of their tables."""
     path = work_dir(spark, "ingest")
-    started = [
-        runners[topic](
-            replay(spark, sf_dir, topic), f"{path}/tables", f"{path}/checkpoints",
-            available_now=True, as_of=fx.AS_OF,
-        )
-        for topic in topics
-    ]
-    for query in started:
+    for query in [start(spark, sf_dir, job, f"{path}/tables", f"{path}/checkpoints") for job in names]:
         finish(query)
     return f"{path}/tables"
 
 
+def kept_up(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """The folder of some jobs' packed tables, which several queries read."""
+
+    def write(path: str) -> None:
+        for query in [start(spark, sf_dir, job, path, f"{path}/_checkpoints") for job in names]:
+            finish(query)
+        for job in names:
+            jobs.keep_up(spark, path, job)
+
+    return written_once(spark, sf_dir, f"jobs-{'-'.join(names)}", write)
+
+
 @check(f"""{orders.ORDERS} SELECT {orders.FIELDS_SQL}, {orders.BUCKET_SQL} AS revenue_bucket,
-quantity >= 3 AS is_bulk_order FROM fx_orders""")
+quantity > 2 AS is_bulk_order FROM fx_orders""")
 def stream_append_orders(spark, sf_dir):
     path = ingest(spark, sf_dir, "orders")
     return read_table(spark, f"{path}/orders", schemas.ORDERS).drop("processing_time")
 
 
 @check(f"""{orders.ORDERS} SELECT {orders.FIELDS_SQL.replace('quantity', 'CAST(quantity AS BIGINT) AS quantity')},
-{orders.BUCKET_SQL} AS revenue_bucket, quantity >= 3 AS is_bulk_order FROM fx_orders""")
+{orders.BUCKET_SQL} AS revenue_bucket, quantity > 2 AS is_bulk_order FROM fx_orders""")
 def stream_mirror(spark, sf_dir):
-    path = work_dir(spark, "mirror")
-    query = jobs.run_mirror(
-        replay(spark, sf_dir, "orders"), path, f"{path}-checkpoints",
-        available_now=True, as_of=fx.AS_OF,
-    )
-    finish(query)
+    path = ingest(spark, sf_dir, "mirror")
     rows = read_table(spark, f"{path}/orders_mirror", schemas.ORDERS_MIRROR)
     return rows.drop("processing_time")
 
@@ -89,8 +107,9 @@ def stream_append_iot(spark, sf_dir):
 
 @check(f"{credit.ACCOUNTS}, {credit.LATEST_ACCOUNTS} SELECT {credit.ACCOUNT_SQL} FROM a")
 def stream_merge_accounts(spark, sf_dir):
-    """Account changes merged from a snapshot of the log and the batch behind it."""
+    """Account changes merged over two compactions and the batch behind them."""
     path = ingest(spark, sf_dir, "accounts")
+    merge.compact(spark, f"{path}/accounts", jobs.CHANGE_LOG, upto=1)
     merge.compact(spark, f"{path}/accounts", jobs.CHANGE_LOG)
     merged = merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG)
     return parse.target_rows(merged, schemas.ACCOUNTS).drop("ingested_ts")
@@ -129,6 +148,7 @@ def stream_progress(spark, sf_dir):
     return mine.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))
 
 
+FEED_COUNTS = fx.ctes("fx_orders", "fx_account_changes")
 FEEDS = fx.ctes("fx_account_changes", "fx_scores", "fx_inquiries")
 
 
@@ -162,17 +182,149 @@ def reconcile_cdc(spark, sf_dir):
     return reconcile.reconcile(source, target, jobs.read_landing(spark, path))
 
 
+def minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = parse.split_rejects(parse.readings_from_csv(replay(spark, sf_dir, "readings")))
+    return windows.stream_per_minute(good, "timestamp")
+
+
 @check(f"""{sensors.IOT} SELECT date_trunc('minute', event_time) AS bucket, COUNT(*) AS cnt
 FROM fx_iot GROUP BY 1""")
 def stream_minute(spark, sf_dir):
+    """All minutes, from the updates of each batch, some of them folded."""
     path = work_dir(spark, "minute")
-    rows = parse.readings_from_csv(replay(spark, sf_dir, "readings"))
-    good, _ = parse.split_rejects(rows)
-    counts = windows.stream_per_minute(good, "timestamp")
+    counts = minute_counts(spark, sf_dir)
     finish(windows.run_minute_board(counts, path, f"{path}-checkpoint", available_now=True))
+    windows.keep_up_board(spark, path)
     return windows.newest_board(spark, path)
 
 
+@check(f"""{sensors.IOT}, m AS (SELECT date_trunc('minute', event_time) AS bucket, COUNT(*) AS cnt
+FROM fx_iot GROUP BY 1)
+SELECT * FROM m WHERE bucket + INTERVAL 2 MINUTE <=
+  (SELECT MAX(date_trunc('second', event_time)) FROM fx_iot)""")
+def stream_minute_final(spark, sf_dir):
+    """The minutes that the watermark, a minute behind the newest reading, has passed."""
+    path = work_dir(spark, "minute-final")
+    counts = minute_counts(spark, sf_dir)
+    finish(windows.run_per_minute(counts, path, f"{path}-checkpoint", available_now=True))
+    return read_table(spark, path, windows.MINUTES)
+
+
+@check(orders.TABLE_SQL + orders.MINUTE_SQL)
+def ecom_minute(spark, sf_dir):
+    """Of the order job's packed table; only the months of the window are read."""
+    rows = jobs.read_job(spark, kept_up(spark, sf_dir, "orders"), "orders")
+    return kpi.per_minute(rows, "timestamp", orders.AS_OF, orders.WINDOW, "total_price")
+
+
+@check(orders.TABLE_SQL + orders.RECENT_SQL)
+def recent_orders(spark, sf_dir):
+    """Of the order job's packed table, from its newest months alone."""
+    columns = ["order_id", "timestamp", "customer_name", "product_name", "category",
+               "total_price", "revenue_bucket", "country", "is_bulk_order"]
+    path = kept_up(spark, sf_dir, "orders")
+    return timed.newest_rows(spark, f"{path}/orders", schemas.ORDERS, "timestamp", 20, columns, ["order_id"])
+
+
+@check(f"""{fx.ctes('fx_account_changes', 'fx_scores', 'fx_inquiries')}
+SELECT 'credit_accounts' AS table_name, COUNT(DISTINCT account_id) AS record_count,
+  make_timestamp(MAX(event_ms) * 1000) AS newest_record FROM fx_account_changes
+UNION ALL SELECT 'bureau_score_events', COUNT(*), make_timestamp(MAX(score_ms) * 1000) FROM fx_scores
+UNION ALL SELECT 'credit_inquiries', COUNT(*), MAX(inquiry_ts) FROM fx_inquiries
+UNION ALL SELECT 'lender_feed_landing', (SELECT COUNT(*) FROM fx_account_changes) + (SELECT COUNT(*) FROM fx_scores)
+  + (SELECT COUNT(*) FROM fx_inquiries), greatest((SELECT make_timestamp(MAX(event_ms) * 1000) FROM fx_account_changes),
+  (SELECT make_timestamp(MAX(score_ms) * 1000) FROM fx_scores), (SELECT MAX(inquiry_ts) FROM fx_inquiries))""")
+def cdc_freshness(spark, sf_dir):
+    """The four targets of the change feeds, as the jobs left them."""
+    path = kept_up(spark, sf_dir, "accounts", "scores", "inquiries")
+    tables = {
+        "credit_accounts": (merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG), "event_ts"),
+        "bureau_score_events": (jobs.read_job(spark, path, "scores"), "score_ts"),
+        "credit_inquiries": (jobs.read_job(spark, path, "inquiries"), "inquiry_ts"),
+        "lender_feed_landing": (jobs.read_landing(spark, path), "event_ts"),
+    }
+    return reconcile.freshness(tables, fx.AS_OF).select("table_name", "record_count", "newest_record")
+
+
+@check(f"""{FEED_COUNTS} SELECT 'orders' AS table_name, TRUE AS was_there, n AS rows_before, CAST(0 AS BIGINT) AS rows_after
+FROM (SELECT COUNT(*) AS n FROM fx_orders)
+UNION ALL SELECT 'accounts', TRUE, n, 0 FROM (SELECT COUNT(DISTINCT account_id) AS n FROM fx_account_changes)
+UNION ALL SELECT 'nothing', FALSE, 0, 0""")
+def truncated_tables(spark, sf_dir):
+    """A laid table and a merge target before and after they are truncated, and a table nobody wrote."""
+    path = ingest(spark, sf_dir, "orders", "accounts")
+    merge.compact(spark, f"{path}/accounts", jobs.CHANGE_LOG)
+
+    def sizes() -> dict[str, int]:
+        return {
+            "orders": read_table(spark, f"{path}/orders", schemas.ORDERS).count(),
+            "accounts": merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG).count(),
+            "nothing": read_table(spark, f"{path}/nothing", schemas.ORDERS).count(),
+        }
+
+    before = sizes()
+    there = {name: table_exists(spark, f"{path}/{name}") for name in before}
+    jobs.reset(spark, path, "orders")
+    jobs.reset(spark, path, "accounts")
+    after = sizes()
+    rows = [(name, there[name], before[name], after[name]) for name in before]
+    return spark.createDataFrame(rows, "table_name STRING, was_there BOOLEAN, rows_before BIGINT, rows_after BIGINT")
+
+
+TABLES = {
+    "accounts": ("accounts/changes", jobs.CHANGE_LOG), "scores": ("scores", schemas.SCORES),
+    "inquiries": ("inquiries", schemas.INQUIRIES), "readings": ("readings", schemas.READINGS),
+    "mirror": ("orders_mirror", schemas.ORDERS_MIRROR), "orders": ("orders", schemas.ORDERS),
+}
+FEED_SIZES = f"""{fx.ctes('fx_account_changes', 'fx_scores', 'fx_inquiries', 'fx_iot', 'fx_orders')}, n AS (
+SELECT 'accounts' AS job, COUNT(*) AS n FROM fx_account_changes
+UNION ALL SELECT 'scores', COUNT(*) FROM fx_scores UNION ALL SELECT 'inquiries', COUNT(*) FROM fx_inquiries
+UNION ALL SELECT 'readings', COUNT(*) FROM fx_iot UNION ALL SELECT 'mirror', COUNT(*) FROM fx_orders
+UNION ALL SELECT 'orders', COUNT(*) FROM fx_orders)"""
+
+
+def table_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    return {job: read_table(spark, f"{path}/{table}", schema).count() for job, (table, schema) in TABLES.items()}
+
+
+@check(f"{FEED_SIZES} SELECT job, TRUE AS refused, n AS rows_before, n AS rows_after FROM n")
+def stream_restart_refused(spark, sf_dir):
+    """Each job once more under another checkpoint: refused, and the rows stay."""
+    path = ingest(spark, sf_dir, *TABLES)
+    before, refused = table_sizes(spark, path), {}
+    for job in TABLES:
+        query = start(spark, sf_dir, job, path, f"{path}-other")
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            refused[job] = "another checkpoint" in str(error)
+    after = table_sizes(spark, path)
+    rows = [(job, refused.get(job, False), before[job], after[job]) for job in TABLES]
+    return spark.createDataFrame(rows, "job STRING, refused BOOLEAN, rows_before BIGINT, rows_after BIGINT")
+
+
+@check(f"""{FEED_SIZES} SELECT job, n AS rows_before, n AS rows_after, CAST(0 AS BIGINT) AS only_before,
+CAST(0 AS BIGINT) AS only_after FROM n WHERE job <> 'orders'""")
+def stream_replay_same(spark, sf_dir):
+    """The last batch of each exactly-once job written again, as after a crash: the same rows."""
+    path, feeds = work_dir(spark, "replayed"), [job for job in TABLES if job != "orders"]
+    counts = []
+    for job in feeds:
+        table, schema = TABLES[job]
+        checkpoint = f"{path}/checkpoints"
+        finish(start(spark, sf_dir, job, f"{path}/t", checkpoint))
+        before = materialize(read_table(spark, f"{path}/t/{table}", schema), f"{path}/before/{job}")
+        last = folders.numbered(spark, f"{checkpoint}/{job}/commits", "")[-1]
+        folders.remove(spark, f"{checkpoint}/{job}/commits/{last}")
+        finish(start(spark, sf_dir, job, f"{path}/t", checkpoint))
+        after = read_table(spark, f"{path}/t/{table}", schema)
+        counts.append(reconcile.count_differences(before, after).select(
+            F.lit(job).alias("job"), F.col("left_rows").alias("rows_before"), F.col("right_rows").alias("rows_after"),
+            F.col("only_left").alias("only_before"), F.col("only_right").alias("only_after"),
+        ))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @check(f"""{sensors.IOT} SELECT 'iot-sensors-csv' AS topic, COUNT(*) + 4 AS messages FROM fx_iot""")
 def topic_totals(spark, sf_dir):
     return message_totals(replay(spark, sf_dir, "readings", streaming=False))
