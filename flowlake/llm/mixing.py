@@ -189,34 +189,38 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS) -> tuple[DataFrame
         "key", "size", "n",
         F.expr("copies div n").alias("base"), (F.col("copies") % F.col("n")).alias("extra"),
     )
+    none = F.lit(0).cast("long")
     cells = rounded.join(_limits(sized, rounded), ["key", "size"], "left").select(
-        "key", "size", "base", F.coalesce("limit", F.lit(-1).cast("long")).alias("limit")
+        "key", "size", "base", F.coalesce("limit", F.lit(-1).cast("long")).alias("limit"),
+        F.coalesce("inside", none).alias("inside"), F.coalesce("tied", none).alias("tied"),
     )
     return sized, wanted, written(cells, "mix-limits")
 
 
 def _limits(sized: DataFrame, cells: DataFrame) -> DataFrame:
-    """(key, size, limit): the draw of the last document of a cell that gets one more copy.
+    """(key, size, limit, inside, tied): the draw of the last document of a cell that gets one more
+    copy, and how many of the ``tied`` rows with that draw get one.
 
     A cell is cut into ranges of its draws of about ``CELL_ROWS`` rows, so that only the range that
-    holds the limit is numbered, however many rows the cell has.
+    holds the limit is numbered, however many rows the cell has. Equal draws are counted first.
     """
     cuts = F.ceil(F.col("n") / CELL_ROWS)
     part = F.floor(F.col("draw") / F.lit(float(1 << 62)) * cuts)
     rows = sized.join(cells.filter("extra > 0"), ["key", "size"]).select(
         "key", "size", "extra", "draw", part.alias("part")
-    )
+    ).groupBy("key", "size", "extra", "part", "draw").agg(F.count("*").alias("tied"))
     so_far = F.sum("rows").over(Window.partitionBy("key", "size").orderBy("part"))
     found = (
-        rows.groupBy("key", "size", "extra", "part").agg(F.count("*").alias("rows"))
+        rows.groupBy("key", "size", "extra", "part").agg(F.sum("tied").alias("rows"))
         .withColumn("upto", so_far)
         .filter((F.col("upto") >= F.col("extra")) & (F.col("upto") - F.col("rows") < F.col("extra")))
         .select("key", "size", "part", (F.col("extra") - F.col("upto") + F.col("rows")).alias("nth"))
     )
-    number = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("draw"))
+    number = F.sum("tied").over(Window.partitionBy("key", "size", "part").orderBy("draw"))
     return (
         rows.join(found, ["key", "size", "part"]).withColumn("number", number)
-        .filter("number = nth").select("key", "size", F.col("draw").alias("limit"))
+        .filter("number >= nth AND number - tied < nth")
+        .select("key", "size", F.col("draw").alias("limit"), (F.col("nth") - F.col("number") + F.col("tied")).alias("inside"), "tied")
     )
 
 
@@ -225,21 +229,38 @@ def _small(cells: DataFrame) -> DataFrame:
     return F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
 
 
-def _copies() -> Column:
+_SHARED = "draw = limit AND inside < tied"
+
+
+def _with_copies(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows that met their cell, with their ``copies``. Rows that share the draw of the limit are
+    numbered, in the tasks they come from, and as many as the cell wants get one more."""
     more = F.when(F.col("draw") <= F.col("limit"), 1).otherwise(0)
-    return F.coalesce(F.col("base") + more, F.lit(1)).cast("long")
+    plain = rows.withColumn("copies", F.coalesce(F.col("base") + more, F.lit(1)).cast("long"))
+    if cells.filter("inside < tied").isEmpty():
+        return plain
+    shared = F.coalesce(F.expr(_SHARED), F.lit(False))
+    # Written, so that a row stays in the task it was counted in.
+    ties = written(rows.filter(shared).withColumn("task", F.spark_partition_id()), "mix-ties")
+    group = ["limit", "base", "inside", "tied"]
+    before = Window.partitionBy(*group).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ties.groupBy(*group, "task").agg(F.count("*").alias("rows")).select(
+        *group, "task", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before")
+    )
+    nth = F.row_number().over(Window.partitionBy(*group, "task").orderBy("draw")) + F.col("before")
+    numbered = ties.join(starts, [*group, "task"]).withColumn("nth", nth)
+    one = F.when(F.col("nth") <= F.col("inside"), 1).otherwise(0)
+    numbered = numbered.withColumn("copies", (F.col("base") + one).cast("long"))
+    return plain.filter(~shared).unionByName(numbered.select(*plain.columns))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS) -> DataFrame:
     """doc_id, size, source_size, target (of the document's source), taken, copies of every row."""
     sized, wanted, cells = plan(docs, weights)
-    return (
-        sized.join(_small(cells), ["key", "size"], "left")
-        .join(_small(wanted), "key")
-        .select(
-            "doc_id", "size", F.col("words").alias("source_size"), "target",
-            (_copies() * F.col("size")).alias("taken"), _copies().alias("copies"),
-        )
+    rows = sized.join(_small(cells), ["key", "size"], "left").join(_small(wanted), "key")
+    return _with_copies(rows, cells).select(
+        "doc_id", "size", F.col("words").alias("source_size"), "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies",
     )
 
 
@@ -247,17 +268,16 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Texts stay where they are while the
     table of cells is small."""
     _, _, cells = plan(docs, weights)
-    cell = cells.select(F.struct("key", "size").alias("cell"), F.struct("base", "limit").alias("copy"))
+    cell = cells.select(F.struct("key", "size").alias("cell"), F.struct("base", "limit", "inside", "tied").alias("copy"))
     made = _sized(docs)
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.struct(made["key"].alias("key"), made["size"].alias("size")).alias("cell"),
         made["draw"].alias("draw"),
     )
+    met = rows.join(_small(cell), "cell", "left").select("row", "draw", "copy.*")
     return (
-        rows.join(_small(cell), "cell", "left")
-        .select("row", "draw", "copy.*")
-        .withColumn("copies", _copies()).filter("copies > 0")
+        _with_copies(met, cells).filter("copies > 0")
         .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth"))
         .select("row.*")
     )

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 
 from flowlake.llm import mixing
@@ -114,3 +115,29 @@ def test_many_documents_of_one_cell(documents, monkeypatch):
     assert sum(r.taken for r in got if r.doc_id < 700) == pytest.approx(want["a"], abs=10)
     assert sum(r.taken for r in got if r.doc_id >= 700) == pytest.approx(want["b"], abs=10)
     assert not math.isnan(got[0].target)
+
+
+def test_equal_rows_are_taken_apart(documents):
+    """Half of a source is one repeated row; all of its copies have one draw."""
+    rng = np.random.default_rng(4)
+    repeated = " ".join(["w"] * 25)
+    rows = [(1, repeated, None, "a")] * 400 + [(1000 + i, " ".join(["v"] * int(rng.integers(1, 60))), None, "a") for i in range(300)]
+    rows += [(5000 + i, " ".join(["u"] * int(rng.integers(1, 60))), None, s) for i in range(900) for s in ("b", "c")]
+    docs = documents(rows).repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    words = {}
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size and r.taken % max(1, r.size) == 0
+        words.setdefault(r.target, [0, 0])
+        words[r.target][0] += r.taken
+        words[r.target][1] = max(words[r.target][1], r.size)
+    for target, (taken, longest) in words.items():
+        assert abs(taken - target) <= max(0.01 * target, longest)
+    copies = sorted(r.copies for r in got if r.doc_id == 1)
+    assert copies[-1] - copies[0] <= 1
+    counts = {}
+    for r in mixing.mixed(docs).collect():
+        counts[r.doc_id, r.text] = counts.get((r.doc_id, r.text), 0) + 1
+    assert counts[1, repeated] == sum(copies)
+    assert sum(len(t.split()) * n for (_, t), n in counts.items()) == sum(r.taken for r in got)
