@@ -7,9 +7,8 @@ with a smaller id, is left out by anti-joins; the maximal conversations are rend
 A prefix's hash is two sums over its turns of hashes of turn number, role and text, so prefixes come
 from running sums. These are taken in two steps, over runs of ``RUN`` turn numbers and within them,
 so that a conversation with a third of all rows is spread over many tasks; and a conversation is
-rendered in parts of ``RUN`` turn numbers. Where that would put more than ``RUN`` rows into a part, as
-repeated or NULL turn numbers can, the conversation is cut into parts of ``RUN`` rows instead: its
-rows, equal ones counted as one, are sorted in ranges, and running counts number them.
+rendered in parts of ``RUN`` rows. One with more rows than that has them, equal ones counted as one,
+sorted in ranges, and running counts number them.
 
 Turns are ordered by number, those of one number by role and text; a NULL number counts as -1. A
 prefix ends after a whole number. NULL roles and texts are kept apart from empty ones in hashes and
@@ -130,24 +129,22 @@ def _cut_by_rows(rows: DataFrame, n_rows: int) -> DataFrame:
 
 def render(conversations: DataFrame) -> DataFrame:
     """conv_id, part, n_turns, n_equal, rendered of the maximal conversations, in parts of ``RUN``
-    turn numbers; most conversations are part 0 alone. A conversation with more than ``RUN`` rows in
-    such a part has parts of ``RUN`` rows, numbered from 0."""
+    rows, numbered from 0; most conversations are part 0 alone."""
     kept = written(maximal(conversations), "chat-kept")
     turns = _turns(conversations).withColumn("conv", F.struct("conv_id")).drop("conv_id")
-    every = Window.partitionBy("conv")
-    sizes = turns.groupBy("conv", "part").agg(F.count("*").alias("size")).select(
-        "conv", "part", "size", F.max("size").over(every).alias("most"), F.sum("size").over(every).alias("all")
-    )
-    parts = written(sizes.join(kept, "conv", "left"), "chat-parts")
-    n_rows, crowded = parts.agg(F.sum("size"), F.sum(F.when(F.col("most") > RUN, F.col("size")))).first()
+    sizes = turns.groupBy("conv").agg(F.count("*").alias("size"))
+    sizes = written(sizes.join(kept, "conv", "left"), "chat-sizes")
+    n_rows, crowded = sizes.agg(F.sum("size"), F.sum(F.when(F.col("size") > RUN, F.col("size")))).first()
     names = ["conv", "part", "n_rows", "equal", "turn", "role", "text"]
-    stay = parts.filter("n_rows IS NOT NULL")
+    stay = sizes.filter("n_rows IS NOT NULL")
+    turns = turns.withColumn("part", F.lit(0).cast("long"))
     if not crowded:
-        return _rendered(turns.join(stay, ["conv", "part"]).select(*names, F.lit(1).alias("copies")))
-    hot = parts.filter((F.col("most") > RUN) & (F.col("all") > n_rows * FINE)).select("conv", "n_rows", "equal").distinct()
-    rest = turns.join(F.broadcast(hot.select("conv")), "conv", "left_anti").join(stay, ["conv", "part"])
+        return _rendered(turns.join(stay, "conv").select(*names, F.lit(1).alias("copies")))
+    # Fewer than 1 / FINE.
+    hot = sizes.filter((F.col("size") > RUN) & (F.col("size") > n_rows * FINE)).select("conv", "n_rows", "equal")
+    rest = turns.join(F.broadcast(hot.select("conv")), "conv", "left_anti").join(stay, "conv")
     crowds = turns.join(F.broadcast(hot.filter("n_rows IS NOT NULL")), "conv").select(*names).unionByName(
-        rest.filter(F.col("most") > RUN).select(*names)
+        rest.filter(F.col("size") > RUN).select(*names)
     )
-    few = rest.filter(F.col("most") <= RUN).select(*names, F.lit(1).alias("copies"))
+    few = rest.filter(F.col("size") <= RUN).select(*names, F.lit(1).alias("copies"))
     return _rendered(few).unionByName(_rendered(_cut_by_rows(crowds, crowded)))

@@ -86,9 +86,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM c
     ),
     w AS (SELECT prefix, n_turns, MIN(conv_id) AS conv_id, COUNT(*) AS n_equal FROM p WHERE n = n_turns GROUP BY ALL),
-    k AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE n < n_turns))
-    SELECT conv_id, turn // {chat.RUN} AS part, n_turns, n_equal, STRING_AGG(line, '' ORDER BY turn, row) AS rendered
-    FROM c JOIN k USING (conv_id) GROUP BY conv_id, part, n_turns, n_equal
+    k AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE n < n_turns)),
+    o AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, row) - 1) // {chat.RUN} AS part FROM c)
+    SELECT conv_id, part, n_turns, n_equal, STRING_AGG(line, '' ORDER BY turn, row) AS rendered
+    FROM o JOIN k USING (conv_id) GROUP BY conv_id, part, n_turns, n_equal
 """)
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations that no longer one begins with, rendered."""

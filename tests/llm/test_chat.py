@@ -32,9 +32,9 @@ def brute(rows, run=chat.RUN):
             continue
         named = [i for i in ids if i is not None]
         parts = {}
-        for turn, role, text in turns:
+        for i, (_, role, text) in enumerate(turns):
             line = f"<|im_start|>{'unknown' if role is None else role}\n{text or ''}<|im_end|>\n"
-            parts[turn // run] = parts.get(turn // run, "") + line
+            parts[i // run] = parts.get(i // run, "") + line
         out += [(min(named) if named else None, p, len(turns), len(ids), t) for p, t in parts.items()]
     return sorted(out, key=str)
 
@@ -83,6 +83,7 @@ def test_crowded_turn_numbers_are_cut_by_rows(spark, monkeypatch, fine):
     rows += [(i, *t) for i in (4, 5) for t in crowd + [(9000, "user", "end")]] + [(7, *t) for t in crowd]
     random.Random(1).shuffle(rows)
     got = chat.render(table(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
     expected = {}
     for conv, _, n, equal, text in sorted(brute(rows), key=lambda r: r[1]):
         expected[conv] = (n, equal, expected.get(conv, (n, equal, ""))[2] + text)
