@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake import schemas
 from flowlake.checks import credit, fixtures as fx, orders, sensors
-from flowlake.checks.registry import check, written_once
-from flowlake.operators import kpi, merge, parse, reconcile
+from flowlake.checks.registry import ORACLES, check, written_once
+from flowlake.operators import kpi, merge, parse, partials, reconcile
 from flowlake.session import work_dir
 from flowlake.sinks import folders, timed
 from flowlake.sinks.tables import materialize, read_table, table_exists
@@ -57,10 +57,10 @@ RUNNERS = {
 }
 
 
-def start(spark: SparkSession, sf_dir: str, job: str, path: str, checkpoint: str):
+def start(spark: SparkSession, sf_dir: str, job: str, path: str, checkpoint: str, with_partials: bool = False):
     run, settings = RUNNERS[job]
     messages = replay(spark, sf_dir, "orders" if job == "mirror" else job)
-    settings = replace(settings, grain="month")
+    settings = replace(settings, grain="month", partials=with_partials)
     return run(messages, path, checkpoint, settings, available_now=True, as_of=fx.AS_OF)
 
 
@@ -76,7 +76,7 @@ def kept_up(spark: SparkSession, sf_dir: str, *names: str) -> str:
     """The folder of some jobs' packed tables, which several queries read."""
 
     def write(path: str) -> None:
-        for query in [start(spark, sf_dir, job, path, f"{path}/_checkpoints") for job in names]:
+        for query in [start(spark, sf_dir, job, path, f"{path}/_checkpoints", True) for job in names]:
             finish(query)
         for job in names:
             jobs.keep_up(spark, path, job)
@@ -276,6 +276,54 @@ TABLES = {
     "inquiries": ("inquiries", schemas.INQUIRIES), "readings": ("readings", schemas.READINGS),
     "mirror": ("orders_mirror", schemas.ORDERS_MIRROR), "orders": ("orders", schemas.ORDERS),
 }
+def order_partials(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(partial aggregates, rows) of the order job's packed tables."""
+    path = kept_up(spark, sf_dir, "orders")
+    return jobs.read_job(spark, path, "order_minutes"), jobs.read_job(spark, path, "orders")
+
+
+def reading_partials(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    path = kept_up(spark, sf_dir, "readings")
+    return jobs.read_job(spark, path, "reading_minutes"), jobs.read_job(spark, path, "readings")
+
+
+@check(ORACLES["ecom_totals"])
+def ecom_totals_partials(spark, sf_dir):
+    return partials.ecom_totals(*order_partials(spark, sf_dir), orders.AS_OF, orders.WINDOW)
+
+
+@check(ORACLES["ecom_buckets"])
+def ecom_buckets_partials(spark, sf_dir):
+    return partials.by_bucket(order_partials(spark, sf_dir)[0])
+
+
+@check(ORACLES["ecom_countries"])
+def ecom_countries_partials(spark, sf_dir):
+    return partials.top_by(order_partials(spark, sf_dir)[0], "country", 10)
+
+
+@check(ORACLES["ecom_minute"])
+def ecom_minute_partials(spark, sf_dir):
+    minutes, rows = order_partials(spark, sf_dir)
+    return partials.per_minute(minutes, rows, "timestamp", orders.AS_OF, orders.WINDOW, "total_price")
+
+
+@check(ORACLES["iot_totals"])
+def iot_totals_partials(spark, sf_dir):
+    return partials.iot_totals(*reading_partials(spark, sf_dir), fx.AS_OF, sensors.WINDOW)
+
+
+@check(ORACLES["iot_sensors"])
+def iot_sensors_partials(spark, sf_dir):
+    return partials.sensor_cards(reading_partials(spark, sf_dir)[0])
+
+
+@check(ORACLES["iot_minute"])
+def iot_minute_partials(spark, sf_dir):
+    minutes, rows = reading_partials(spark, sf_dir)
+    return partials.per_minute(minutes, rows, "timestamp", fx.AS_OF, sensors.WINDOW)
+
+
 FEED_SIZES = f"""{fx.ctes('fx_account_changes', 'fx_scores', 'fx_inquiries', 'fx_iot', 'fx_orders')}, n AS (
 SELECT 'accounts' AS job, COUNT(*) AS n FROM fx_account_changes
 UNION ALL SELECT 'scores', COUNT(*) FROM fx_scores UNION ALL SELECT 'inquiries', COUNT(*) FROM fx_inquiries

@@ -19,7 +19,8 @@ class JobSettings:
 
     ``interval_ms`` and ``max_rows`` close a micro-batch, ``readers`` 0 keeps one reader per
     topic partition, ``reject_limit`` -1 never fails a batch. ``grain`` is the period (day, month or
-    year of the event) that the job's tables are laid by.
+    year of the event) that the job's tables are laid by. With ``partials`` the order and reading jobs
+    also write partial aggregates for dashboards (``operators.partials``).
     """
 
     interval_ms: int
@@ -30,6 +31,7 @@ class JobSettings:
     readers: int = 0
     group: str | None = None
     grain: str = "day"
+    partials: bool = False
 
 
 # The batch interval, batch size, delivery and reject limit of each job.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake import schemas
-from flowlake.operators import merge, parse
+from flowlake.operators import merge, parse, partials
 from flowlake.sinks import folders, timed
 from flowlake.sinks.fences import checkpoint_id, claim
 from flowlake.sinks.tables import append_batch, fan_out, read_table
@@ -105,10 +105,17 @@ def run_orders(
     settings: JobSettings = topics.ORDERS_JOB, available_now: bool = False, as_of=None,
 ) -> StreamingQuery:
     """Order stream into the orders table. One stream per region: amounts carry no currency."""
+
+    def targets(good: DataFrame) -> dict[str, DataFrame]:
+        rows = parse.target_rows(good, schemas.ORDERS)
+        tables = {"orders": timed.by_time(rows, "timestamp", settings.grain)}
+        if settings.partials:
+            tables["order_minutes"] = timed.by_time(partials.order_minutes(rows), "minute", settings.grain)
+        return tables
+
     return run_job(
         messages, "orders",
-        lambda batch: parse.derive_orders(parse.orders_from_json(batch, as_of)),
-        lambda good: {"orders": timed.by_time(parse.target_rows(good, schemas.ORDERS), "timestamp", settings.grain)},
+        lambda batch: parse.derive_orders(parse.orders_from_json(batch, as_of)), targets,
         path, checkpoint, settings, available_now,
     )
 
@@ -137,7 +144,10 @@ def run_iot(
 
     def targets(good: DataFrame) -> dict[str, DataFrame]:
         rows = parse.target_rows(with_source_id(good), schemas.READINGS)
-        return {"readings": timed.by_time(rows, "timestamp", settings.grain)}
+        tables = {"readings": timed.by_time(rows, "timestamp", settings.grain)}
+        if settings.partials:
+            tables["reading_minutes"] = timed.by_time(partials.reading_minutes(rows), "minute", settings.grain)
+        return tables
 
     return run_job(
         messages, "readings",
@@ -209,9 +219,9 @@ def run_inquiries(
 
 # The tables a job writes besides its rejects, what they hold, and how packed rows are sorted.
 TABLES = {
-    "orders": {"orders": (schemas.ORDERS, ())},
+    "orders": {"orders": (schemas.ORDERS, ()), "order_minutes": (partials.ORDER_MINUTES, ())},
     "mirror": {"orders_mirror": (schemas.ORDERS_MIRROR, ("order_id", "timestamp"))},
-    "readings": {"readings": (schemas.READINGS, ())},
+    "readings": {"readings": (schemas.READINGS, ()), "reading_minutes": (partials.READING_MINUTES, ())},
     "accounts": {"landing/feed=accounts": (schemas.LANDING, ())},
     "scores": {"scores": (schemas.SCORES, ()), "landing/feed=scores": (schemas.LANDING, ())},
     "inquiries": {"inquiries": (schemas.INQUIRIES, ()), "landing/feed=inquiries": (schemas.LANDING, ())},
