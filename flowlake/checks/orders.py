@@ -80,16 +80,6 @@ def mirror_orders(spark, sf_dir):
     return mirror_table(spark, sf_dir).drop("processing_time")
 
 
-@check(f"""{ORDERS} SELECT COUNT(*) AS left_rows, COUNT(*) AS right_rows,
-CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, TRUE AS same FROM fx_orders""")
-def consumer_parity(spark, sf_dir):
-    columns = ["order_id", "timestamp", "customer_id", "category", "quantity", "total_price",
-               "revenue_bucket", "is_bulk_order"]
-    first = parse.derive_orders(parsed_orders(spark, sf_dir))
-    first = first.withColumn("total_price", F.col("total_price").cast("double"))
-    return reconcile.consumer_parity(first, mirror_table(spark, sf_dir), columns)
-
-
 @check(f"""{ORDERS}, k AS (SELECT CAST(substr(order_id, 5) AS BIGINT) AS k FROM fx_orders),
 n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE k % 97 = 0) AS lost,
   COUNT(*) FILTER (WHERE k % 89 = 1 AND k % 97 <> 0) AS doubled FROM k)

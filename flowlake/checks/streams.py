@@ -12,6 +12,8 @@ from flowlake import schemas
 from flowlake.checks import credit, fixtures as fx, orders, sensors
 from flowlake.checks.registry import ORACLES, check, written_once
 from flowlake.operators import kpi, merge, parse, partials, reconcile
+from flowlake.operators.latest import latest_accounts
+from flowlake.plans import adhoc
 from flowlake.session import work_dir
 from flowlake.sinks import folders, timed
 from flowlake.sinks.tables import materialize, read_table, table_exists
@@ -210,6 +212,63 @@ def stream_minute_final(spark, sf_dir):
     return read_table(spark, path, windows.MINUTES)
 
 
+@check(f"""{orders.ORDERS} SELECT COUNT(*) AS left_rows, COUNT(*) AS right_rows,
+CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, TRUE AS same FROM fx_orders""")
+def consumer_parity(spark, sf_dir):
+    """The order and the mirror job: two consumers of one topic, each with a checkpoint of its own."""
+    columns = ["order_id", "timestamp", "customer_id", "category", "quantity", "total_price",
+               "revenue_bucket", "is_bulk_order"]
+    first = jobs.read_job(spark, kept_up(spark, sf_dir, "orders"), "orders")
+    second = jobs.read_job(spark, kept_up(spark, sf_dir, "mirror"), "orders_mirror")
+    first = first.withColumn("total_price", F.col("total_price").cast("double"))
+    return reconcile.consumer_parity(first, second, columns)
+
+
+@check(f"""{credit.ACCOUNTS}, {credit.LATEST_ACCOUNTS} SELECT account_id, consumer_id, lender_id, product,
+CAST(outstanding_amount AS DOUBLE) AS outstanding_amount, dpd_bucket, status,
+make_timestamp(event_ms * 1000) AS event_ts, TIMESTAMP '{fx.AS_OF}' AS ingested_ts
+FROM a ORDER BY account_id LIMIT 20""")
+def latest_ingested(spark, sf_dir):
+    """The merged accounts that came in last; the replay gives all of them one time."""
+    path = kept_up(spark, sf_dir, "accounts", "scores", "inquiries")
+    return adhoc.latest_ingested(merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG))
+
+
+@check(f"""{fx.ctes('fx_account_changes', 'fx_scores', 'fx_orders', 'fx_iot')}, n AS (
+  SELECT (SELECT COUNT(DISTINCT account_id) FROM fx_account_changes) AS a, (SELECT COUNT(*) FROM fx_scores) AS s)
+SELECT 'Source row counts' AS preset, 'credit_accounts' AS tbl, a AS n FROM n
+UNION ALL SELECT 'Source row counts', 'bureau_score_events', s FROM n
+UNION ALL SELECT 'Target row counts', 'credit_accounts', a FROM n
+UNION ALL SELECT 'Target row counts', 'bureau_score_events', s FROM n
+UNION ALL SELECT 'Recent source rows', 'rows', least(a, 20) FROM n
+UNION ALL SELECT 'Recent target rows', 'rows', least(a, 20) FROM n
+UNION ALL SELECT 'Ecommerce row count', 'rows', COUNT(*) FROM fx_orders
+UNION ALL SELECT 'IoT row count', 'rows', COUNT(*) FROM fx_iot""")
+def preset_counts(spark, sf_dir):
+    """The six preset questions, by the counts they give or the rows they return."""
+    path = kept_up(spark, sf_dir, "accounts", "scores", "inquiries")
+    source_accounts, source_scores = credit.feeds(spark, sf_dir)
+    found = adhoc.presets(
+        {"credit_accounts": latest_accounts(source_accounts), "bureau_score_events": source_scores},
+        {
+            "credit_accounts": merge.read_merged(spark, f"{path}/accounts", jobs.CHANGE_LOG),
+            "bureau_score_events": jobs.read_job(spark, path, "scores"),
+        },
+        {
+            "ecommerce_orders": jobs.read_job(spark, kept_up(spark, sf_dir, "orders"), "orders"),
+            "iot_sensor_readings": jobs.read_job(spark, kept_up(spark, sf_dir, "readings"), "readings"),
+        },
+    )
+
+    def counts(name: str, df: DataFrame) -> DataFrame:
+        if df.columns == ["tbl", "n"]:
+            return df.select(F.lit(name).alias("preset"), "tbl", "n")
+        rows = df if df.columns == ["n"] else df.agg(F.count("*").alias("n"))
+        return rows.select(F.lit(name).alias("preset"), F.lit("rows").alias("tbl"), "n")
+
+    return reduce(DataFrame.unionByName, [counts(name, df) for name, df in found.items()])
+
+
 @check(orders.TABLE_SQL + orders.MINUTE_SQL)
 def ecom_minute(spark, sf_dir):
     """Of the order job's packed table; only the months of the window are read."""
