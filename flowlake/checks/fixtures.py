@@ -146,6 +146,32 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(rows, ORDER_TOPIC, value, F.col("event_time"))
 
 
+# Layouts a producer may write times in; the last has a fraction, which the mirror drops.
+TIME_LAYOUTS = ("yyyy/MM/dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "yyyyMMddHHmmss", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+
+
+def mixed_time_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order topic with times in several layouts, a different one by ``offset``."""
+    value, case = F.col("value"), F.col("offset") % len(TIME_LAYOUTS)
+    ts = F.col("timestamp").cast("timestamp_ntz")
+    text = F.lit(None).cast("string")
+    for i, layout in enumerate(TIME_LAYOUTS):
+        text = F.when(case == i, F.date_format(ts, layout)).otherwise(text)
+    stamp = F.concat(F.lit('"timestamp":"'), text, F.lit('"'))
+    return order_messages(spark, sf_dir).withColumn("value", F.regexp_replace(value, F.lit('"timestamp":"[^"]*"'), stamp))
+
+
+def sparse_order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order topic with a NULL price in some messages and a NULL quantity in others."""
+    value, case = F.col("value"), F.col("offset") % 5
+    sparse = (
+        F.when(case == 1, F.regexp_replace(value, '"total_price":[0-9.]+', '"total_price":null'))
+        .when(case == 2, F.regexp_replace(value, '"quantity":[0-9]+', '"quantity":null'))
+        .otherwise(value)
+    )
+    return order_messages(spark, sf_dir).withColumn("value", sparse)
+
+
 def spoiled_order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order topic with some messages spoiled, in a different way by ``offset``."""
     value, case = F.col("value"), F.col("offset") % 11

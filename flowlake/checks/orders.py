@@ -66,6 +66,25 @@ def derive_orders(spark, sf_dir):
     return rows.select("order_id", "total_price", "revenue_bucket", "is_bulk_order")
 
 
+@check(f"""{ORDERS}, o AS (SELECT order_id,
+  CASE WHEN (seq // 4) % 5 = 1 THEN NULL ELSE total_price END AS total_price,
+  CASE WHEN (seq // 4) % 5 = 2 THEN NULL ELSE quantity END AS quantity FROM fx_orders)
+SELECT order_id, CAST(total_price AS DOUBLE) AS total_price, {BUCKET_SQL} AS revenue_bucket,
+quantity > 2 AS is_bulk_order FROM o""")
+def derive_sparse_orders(spark, sf_dir):
+    """Rules on NULL: no price falls to the last bucket, no quantity is neither bulk nor not."""
+    good, _ = parse.split_rejects(parse.orders_from_json(fx.sparse_order_messages(spark, sf_dir), fx.AS_OF))
+    return parse.derive_orders(good).select("order_id", "total_price", "revenue_bucket", "is_bulk_order")
+
+
+@check(f"""{ORDERS} SELECT order_id, event_time AS "timestamp" FROM fx_orders""")
+def mirror_times(spark, sf_dir):
+    """The mirror of a topic that holds times in four layouts."""
+    messages = fx.mixed_time_messages(spark, sf_dir)
+    good, _ = parse.split_rejects(parse.mirror_from_json(messages, fx.AS_OF))
+    return good.select("order_id", "timestamp")
+
+
 @check(f"""{ORDERS}, m AS (SELECT (seq // 4) % 11 AS c FROM fx_orders)
 SELECT CASE c WHEN 1 THEN 'no_value' WHEN 3 THEN 'malformed' WHEN 5 THEN 'bad_value:quantity'
   WHEN 7 THEN 'missing:customer_id' ELSE 'bad_value:unit_price' END AS reject_reason,

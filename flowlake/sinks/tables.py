@@ -60,7 +60,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything was written at ``path``, a plain or laid table or a merge target."""
     from flowlake.sinks.folders import children
 
-    return bool(children(spark, path))
+    # A claim, or a batch that never came into place, is no table.
+    return bool(set(children(spark, path)) - {"_fence", "_aside"})
 
 
 def write_table(

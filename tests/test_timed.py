@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from flowlake import schemas
-from flowlake.operators import kpi, merge, partials, topk
+from flowlake.operators import kpi, merge, parse, partials, topk
 from flowlake.session import work_dir
 from flowlake.sinks import folders, timed
 from flowlake.sinks.tables import append_batch, read_table
@@ -276,3 +276,18 @@ def test_partial_aggregates_equal_the_rows_after_a_replay(spark):
     assert same() == 60
     empty = partials.order_minutes(spark.createDataFrame([], schemas.ORDERS))
     assert partials.ecom_totals(empty, spark.createDataFrame([], schemas.ORDERS), AS_OF).first()["total_orders"] == 0
+
+
+def test_batches_without_rows_or_without_good_rows(spark):
+    """Header lines alone, rejected lines alone: counted, and nothing is written to the table."""
+    path = work_dir(spark, "hollow")
+    publish(spark, f"{path}/topic", [parse.READING_HEADER, parse.READING_HEADER])
+    publish(spark, f"{path}/topic", ["bad line"], start=2)
+    publish(spark, f"{path}/topic", [reading(1)], start=3)
+    stream = topics.replay_topic(spark, f"{path}/topic", files_per_batch=1)
+    query = drain(jobs.run_iot(stream, f"{path}/t", f"{path}/c", available_now=True, as_of=AS_OF))
+    assert [p["numInputRows"] for p in query.recentProgress] == [2, 1, 1]
+    assert read_table(spark, f"{path}/t/readings", schemas.READINGS).count() == 1
+    assert jobs.read_rejects(spark, f"{path}/t", "readings").count() == 1
+    jobs.keep_up(spark, f"{path}/t", "readings")
+    assert read_table(spark, f"{path}/t/readings", schemas.READINGS).count() == 1
