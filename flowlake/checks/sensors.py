@@ -28,10 +28,9 @@ STREAM_SQL = f"""CASE status WHEN 'normal' THEN 0 WHEN 'high_temp' THEN 1 WHEN '
   split_part(location, '-', 1) AS building,
   CAST(CASE WHEN location LIKE '%Floor-%' THEN split_part(location, '-', 3) END AS INT) AS floor,
   {FAHRENHEIT_SQL} AS temperature_f,
-  CASE WHEN temperature >= 20 AND temperature <= 24 AND humidity >= 40 AND humidity <= 60
-       THEN 'comfortable'
-       WHEN temperature >= 18 AND temperature <= 26 AND humidity >= 35 AND humidity <= 65
-       THEN 'acceptable' ELSE 'uncomfortable' END AS comfort_index,
+  CASE WHEN temperature BETWEEN 20 AND 24 AND humidity BETWEEN 40 AND 60 THEN 'comfortable'
+       WHEN temperature BETWEEN 18 AND 26 AND humidity BETWEEN 35 AND 65 THEN 'acceptable'
+       ELSE 'uncomfortable' END AS comfort_index,
   CASE WHEN battery_level >= 80 THEN 'good' WHEN battery_level >= 40 THEN 'medium'
        WHEN battery_level >= 20 THEN 'low' ELSE 'critical' END AS battery_status,
   CASE WHEN temperature BETWEEN -40 AND 50 AND humidity BETWEEN 0 AND 100
@@ -42,9 +41,8 @@ BULK_SQL = f"""CASE WHEN status = 'high_humidity' THEN 1
   split_part(location, '-Floor-', 1) AS building,
   CAST(nullif(split_part(location, '-Floor-', 2), '') AS INT) AS floor,
   {FAHRENHEIT_SQL} AS temperature_f,
-  CASE WHEN temperature >= 20 AND temperature <= 26 AND humidity >= 30 AND humidity <= 60
-       THEN 'comfortable'
-       WHEN temperature >= 18 AND temperature <= 28 THEN 'acceptable'
+  CASE WHEN temperature BETWEEN 20 AND 26 AND humidity BETWEEN 30 AND 60 THEN 'comfortable'
+       WHEN temperature BETWEEN 18 AND 28 THEN 'acceptable'
        ELSE 'uncomfortable' END AS comfort_index,
   CASE WHEN battery_level >= 80 THEN 'full' WHEN battery_level >= 40 THEN 'ok'
        WHEN battery_level >= 20 THEN 'low' ELSE 'critical' END AS battery_status,
