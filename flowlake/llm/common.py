@@ -114,12 +114,19 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
-def poly_windows(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the runs ``values[begin:end]``."""
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of the polynomial hash before each place, what brings a window at a place to the same power)."""
     up, down = _up(len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    return total, down
+
+
+def poly_windows(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs ``values[begin:end]``."""
+    total, down = prefix_sums(values)
+    with np.errstate(over="ignore"):
         return mix64((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 
