@@ -8,9 +8,9 @@
    sets, with one star of each of its keys, and a key whose lines are linked by then is done.
 4. Of the other keys, each one's lines are compared with each other in one task, a line with all lines
    at once, leaving out what is linked already; a task gives no more links than join its components.
-   A key with more lines than a task should hold is narrowed first: its lines must share a second key
-   (at the threshold itself a pair does with a probability of 0.98), and keys that are still too wide
-   are cut into parts, compared two by two.
+   Lines of a key with more lines than a task should hold meet by their rarest shingles instead, one
+   more of them than a similar line can lack, so that no similar two miss each other; a shingle that
+   is still too wide is cut into parts, compared two by two.
 5. Distributed union-find gives components; of each, the line that comes first by (doc_id, line
    number) stays.
 
@@ -295,6 +295,27 @@ def _group_links(roots: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, i
     return out
 
 
+def _rarest(lines: DataFrame) -> DataFrame:
+    """(key, cid): the rarest shingles of each of (cid, line), one more than a similar line can lack, but
+    those that no other line has. Two similar lines have one of them in common."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cids, at = batch.column("cid").to_numpy(), 0
+            for part in _slices(batch.column("line").to_pylist()):
+                sets = shingle_sets(part)
+                owners = np.repeat(cids[at : at + len(part)], [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], names=["cid", "s"])
+                at += len(part)
+
+    each = lines.select("cid", "line").mapInArrow(shingles, "cid long, s long")
+    counts = each.groupBy("s").agg(F.count("*").alias("c"))
+    ordered = each.join(counts, "s").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("all"))
+    shared = F.ceil(F.size("all") * PERCENT / 100)
+    taken = F.slice("all", F.lit(1), (F.size("all") - shared + 1).cast("int"))
+    return ordered.select("cid", F.explode(taken).alias("one")).filter("one.c > 1").select(F.col("one.s").alias("key"), "cid")
+
+
 def _chunk_links(table: pa.Table) -> pa.Table:
     """Links within the groups of a chunk (group, cid, root, line)."""
     cids, first, at = np.unique(table["cid"].to_numpy(), return_index=True, return_inverse=True)
@@ -320,14 +341,11 @@ def _links(texts: DataFrame, keys: DataFrame) -> DataFrame:
     # The star of two lines is the other one.
     whole = written(_open(rows, 3), "line-open")
     groups = _spread(rows, whole.filter("parts = 1"))
-    # A key of many lines is narrowed by the other keys of its lines; what is still wide is cut.
-    wide = rows.join(whole.filter("parts > 1").select("key"), "key")
-    other = rows.select(F.col("key").alias("second"), "cid")
-    narrow = wide.join(other, "cid").filter("key <> second").select(
-        F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key"), "cid", "n", "root"
-    ).distinct()
-    if not whole.filter("parts > 1").isEmpty():
-        narrow = written(narrow, "line-narrow")
+    # Lines of wide keys meet by rare shingles; what is still wide is cut.
+    wide = whole.filter("parts > 1").select("key")
+    if not wide.isEmpty():
+        met = written(rows.join(wide, "key").select("cid", "n", "root").distinct(), "line-wide")
+        narrow = written(_rarest(texts.join(met, "cid", "left_semi")).join(met, "cid").select("key", "cid", "n", "root"), "line-narrow")
         groups = groups.unionByName(_spread(narrow, written(_open(narrow, 2), "line-open")))
     groups = written(groups, "line-groups")
     chunks = max(parts_of(texts.sparkSession), (groups.agg(F.sum("n").alias("n")).first().n or 0) // PART_SHINGLES)

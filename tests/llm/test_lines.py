@@ -89,6 +89,21 @@ def test_copies_that_differ_in_their_own_way(documents, monkeypatch, part_lines)
     assert {(r.doc_id, r.n_lines, tuple(r.dropped)) for r in got} == brute(rows)
 
 
+def test_similar_lines_of_one_wide_key_alone_are_linked(spark, monkeypatch):
+    """Pairs that have no second key in common, in a key of more lines than a task should hold."""
+    monkeypatch.setattr(lines, "PART_LINES", 3)
+    rng = random.Random(3)
+    texts = []
+    for _ in range(10):
+        base = "".join(rng.choice("abcdefghij ") for _ in range(120))
+        texts += [base, base[:60] + "Z" + base[61:]]
+    sizes = [len(shingles(t)) for t in texts]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "cid long, line string")
+    keys = spark.createDataFrame([(7, i, n, 20) for i, n in enumerate(sizes)], "key long, cid long, n long, crowd long")
+    found = {(min(r), max(r)) for r in lines._links(frame, keys).collect()}
+    assert found == {(i, i + 1) for i in range(0, 20, 2)}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_links_of_a_group_join_all_similar_lines(seed):
     rng = random.Random(seed)
