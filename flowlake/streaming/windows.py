@@ -73,7 +73,8 @@ def run_minute_board(
             claim(spark, path, checkpoint_id(spark))
             refuse_folded(spark, path, batch_id)
             admitted = True
-        append_batch(result.coalesce(1), batch_id, f"{path}/changes")
+        # A shuffle, as fewer partitions without one would fold all of the state's in as few tasks.
+        append_batch(result.repartition(BOARD_BUCKETS, "bucket"), batch_id, f"{path}/changes")
 
     writer = (
         counts.writeStream.outputMode("update")

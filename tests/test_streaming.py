@@ -339,3 +339,20 @@ def test_topic_totals(spark):
     rows = [(None, "v", "a", 0, 4, None), (None, "v", "a", 1, 9, None), (None, "v", "b", 0, 0, None)]
     totals = topics.topic_totals(spark.createDataFrame(rows, schemas.TOPIC))
     assert {r["topic"]: r["messages"] for r in totals.collect()} == {"a": 15, "b": 1}
+
+
+def test_a_minute_board_folds_its_state_in_many_tasks(spark, monkeypatch):
+    """A batch is written in fewer files than the state has partitions, behind a shuffle of its own."""
+    path, plans = work_dir(spark, "board-tasks"), []
+    publish(spark, f"{path}/topic", [order(i, timestamp=f"2024-01-01 10:{i:02d}:00") for i in range(30)])
+
+    def kept(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append_batch(df, *rest)
+
+    monkeypatch.setattr(windows, "append_batch", kept)
+    good = parse.orders_from_json(topics.replay_topic(spark, f"{path}/topic"))
+    counts = windows.stream_per_minute(good, "timestamp")
+    drain(windows.run_minute_board(counts, f"{path}/board", f"{path}/checkpoint", available_now=True))
+    assert windows.newest_board(spark, f"{path}/board").count() == 30
+    assert plans and all("Coalesce" not in plan and "hashpartitioning(bucket" in plan for plan in plans)
