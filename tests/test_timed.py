@@ -291,3 +291,19 @@ def test_batches_without_rows_or_without_good_rows(spark):
     assert jobs.read_rejects(spark, f"{path}/t", "readings").count() == 1
     jobs.keep_up(spark, f"{path}/t", "readings")
     assert read_table(spark, f"{path}/t/readings", schemas.READINGS).count() == 1
+
+
+def test_a_pack_deals_its_rows_by_their_number(spark, monkeypatch):
+    """Rows that compress to next to nothing: no task takes more of them than it should hold."""
+    monkeypatch.setattr(timed, "PACK_ROWS", 500)
+    monkeypatch.setattr(timed, "PACK_LEAST", 500)
+    path, stamp = work_dir(spark, "dealt"), F.lit("2024-01-05 10:00:00").cast("timestamp_ntz")
+    rows = spark.range(5_000).select(F.col("id").alias("k"), stamp.alias("ts"))
+    append_batch(timed.by_time(rows, "ts"), 0, path)
+    append_batch(batch(spark, -1, 3, 200), 1, path)
+    append_batch(batch(spark, 300), 2, path)
+    assert timed.pack(spark, path, ROWS) == 1
+    packed = timed.read_timed(spark, path, ROWS)
+    assert packed.count() == 5_004 and packed.distinct().count() == 5_004
+    most = packed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert most < 700
