@@ -356,3 +356,43 @@ def test_a_minute_board_folds_its_state_in_many_tasks(spark, monkeypatch):
     drain(windows.run_minute_board(counts, f"{path}/board", f"{path}/checkpoint", available_now=True))
     assert windows.newest_board(spark, f"{path}/board").count() == 30
     assert plans and all("Coalesce" not in plan and "hashpartitioning(bucket" in plan for plan in plans)
+
+
+def test_one_table_is_written_without_a_copy_of_the_batch(spark, monkeypatch):
+    """A job of one table keeps no parsed rows; rejected ones still go to the dead letter."""
+    path, plans = work_dir(spark, "no-copy"), []
+    publish(spark, f"{path}/topic", [order(i) for i in range(20)] + ["broken"])
+
+    def kept(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append_batch(df, *rest)
+
+    monkeypatch.setattr(jobs, "append_batch", kept)
+    for run, table in ((jobs.run_orders, "orders"), (jobs.run_mirror, "orders_mirror")):
+        messages = topics.replay_topic(spark, f"{path}/topic")
+        drain(run(messages, f"{path}/{table}", f"{path}/checkpoints", available_now=True, as_of=AS_OF))
+        assert read_table(spark, f"{path}/{table}/{table}", schemas.ORDERS).count() == 20
+    assert jobs.read_rejects(spark, f"{path}/orders", "orders").count() == 1
+    assert jobs.read_rejects(spark, f"{path}/orders_mirror", "mirror").count() == 1
+    assert len(plans) == 4 and not any("InMemory" in plan for plan in plans)
+
+
+def test_an_archive_is_cut_into_ranges_of_time(spark):
+    """Even ranges, oldest first, also of messages without a time; values are made once."""
+    path, made = work_dir(spark, "archive"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def value(i):
+        made.add(1)
+        return str(i)
+
+    rows = spark.range(4_000).withColumn("at", F.when(F.col("id") % 10 > 0, F.timestamp_seconds((F.col("id") * 7919) % 4_000)))
+    messages = rows.select(F.lit(None).cast("string").alias("key"), value("id").alias("value"), F.lit("t").alias("topic"),
+                           (F.col("id") % 4).cast("int").alias("partition"), F.col("id").alias("offset"), F.col("at").alias("timestamp"))
+    topics.archive_topic(messages, path, files=8)
+    assert made.value == 4_000
+    found = topics.replay_topic(spark, path, streaming=False).groupBy(F.input_file_name().alias("f")).agg(
+        F.count("*").alias("n"), F.count("timestamp").alias("timed"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b")
+    ).orderBy("f").collect()
+    assert sum(r.n for r in found) == 4_000 and len(found) == 8 and max(r.n for r in found) < 800
+    assert found[0].timed < 400 and all(x.b is None or x.b <= y.a for x, y in zip(found, found[1:]))
