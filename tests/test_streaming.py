@@ -7,6 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from flowlake import schemas
+from flowlake.checks import streams
 from flowlake.operators import merge, parse
 from flowlake.session import work_dir
 from flowlake.sinks import fences, folders
@@ -16,6 +17,7 @@ from flowlake.sources.topics import JobSettings
 from flowlake.streaming import jobs, progress, windows
 
 AS_OF = "2024-01-01 00:00:00"
+SMALL = "/root/testdata/sf0.001"
 
 
 def publish(spark, path, values, topic="t", start=0):
@@ -377,3 +379,45 @@ def test_an_archive_is_cut_into_ranges_of_time(spark):
     ).orderBy("f").collect()
     assert sum(r.n for r in found) == 4_000 and len(found) == 8 and max(r.n for r in found) < 800
     assert found[0].timed < 400 and all(x.b is None or x.b <= y.a for x, y in zip(found, found[1:]))
+
+
+def test_a_topic_is_dealt_before_its_values_are_made(spark):
+    """Small rows are shuffled, not messages; the ranges are those of the messages' time."""
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for name in ("orders", "accounts", "scores", "inquiries", "readings"):
+        made = streams.TOPICS[name](spark, SMALL)
+        dealt = streams.TOPICS[name](spark, SMALL, lambda rows, *place: topics.in_ranges(rows, 16, *place))
+        if name != "readings":
+            above, below = plan_of(dealt).split("Exchange shufflepartitionid", 1)
+            assert "StructsToJson" in above and "StructsToJson" not in below
+        path = work_dir(spark, "dealt")
+        topics.archive_topic(dealt, path, files=None)
+        found = topics.replay_topic(spark, path, streaming=False)
+        assert found.count() == made.count() and found.exceptAll(made).isEmpty()
+        files = sorted(folders.children(spark, path, "part-"))
+        assert len(files) == 16 and all(file.endswith(".zstd.parquet") for file in files)
+        spans = found.groupBy(F.input_file_name().alias("f")).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"), F.count("*").alias("n"))
+        spans = spans.orderBy("f").collect()
+        assert all(x.b <= y.a for x, y in zip(spans, spans[1:])) and max(x.n for x in spans) < made.count() // 4
+
+
+def test_a_batch_of_few_periods_is_written_unsorted(spark, monkeypatch):
+    """And more periods than a task may hold open files of are written all the same."""
+    path, plans = work_dir(spark, "unsorted"), []
+
+    def kept(df, *rest):
+        plans.append(df.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        append_batch(df, *rest)
+
+    monkeypatch.setattr(jobs, "append_batch", kept)
+    days = jobs.OPEN_FILES * 2
+    publish(spark, f"{path}/topic", [order(i, timestamp=f"2024-01-{1 + i % days:02d} 10:00:00") for i in range(days * 5)])
+    drain(jobs.run_orders(topics.replay_topic(spark, f"{path}/topic"), f"{path}/t", f"{path}/c", available_now=True))
+    assert plans and set(plans) == {str(jobs.OPEN_FILES)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    rows = jobs.read_job(spark, f"{path}/t", "orders")
+    assert rows.count() == days * 5 and rows.select("day").distinct().count() == days
+    assert rows.filter(F.col("day") != F.to_date("timestamp")).isEmpty()
