@@ -85,11 +85,14 @@ def count_differences(
         F.coalesce(F.sum(F.greatest(surplus, none)), none).alias("only_left"),
         F.coalesce(F.sum(F.greatest(-surplus, none)), none).alias("only_right"),
     )
+    # Of all columns of the fingerprints, as ``apart`` is: so they are taken once, and their exchange is used again.
     totals = parts.agg(
-        F.coalesce(F.sum("left_rows"), none).alias("left_rows"), F.coalesce(F.sum("right_rows"), none).alias("right_rows")
+        F.coalesce(F.sum("left_rows"), none).alias("left_rows"), F.coalesce(F.sum("right_rows"), none).alias("right_rows"),
+        F.count_if(~same).alias("_apart"),
     )
+    only = [F.when(F.col("_apart") > 0, F.col(name)).otherwise(none).alias(name) for name in ("only_left", "only_right")]
     # One row each.
-    return totals.crossJoin(found)
+    return totals.crossJoin(found).select("left_rows", "right_rows", *only)
 
 
 def consumer_parity(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:

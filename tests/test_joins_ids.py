@@ -5,6 +5,7 @@ import collections
 import pytest
 from pyspark.sql import functions as F
 
+from flowlake.checks import orders
 from flowlake.operators import ids, joins, reconcile
 
 ROWS = 6000
@@ -113,6 +114,23 @@ def test_count_differences_are_bags(spark):
     }
 
 
+def test_count_differences_read_each_side_twice_at_most(spark):
+    """Once for the fingerprints, which two parts of the answer use, and once for the rows that differ."""
+    left, right = spark.range(1_000, numPartitions=2), spark.range(5, 1_000, numPartitions=2)
+    for other, only in ((right, 5), (left, 0)):
+        found = reconcile.count_differences(left.select((F.col("id") * 2).alias("k")), other.select((F.col("id") * 2).alias("k")))
+        assert found.first().asDict() == {"left_rows": 1_000, "right_rows": 1_000 - only, "only_left": only, "only_right": 0}
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Range (") <= 4
+
+
+def test_a_consumer_that_took_rows_twice_is_parsed_once(spark):
+    plan = orders.consumer_parity_apart(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # Two sides in four places: three with the same fingerprints, taken one time, and one with the rows.
+    assert plan.count("from_json") == 8
+
+
 def test_parity_flags(spark):
     one = spark.createDataFrame([(1, "a")], "k int, v string")
     assert reconcile.format_parity(one, one).first()["same"] is True
